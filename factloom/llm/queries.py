@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import mixing, neardup, packing, quality, secrets
+from factloom.llm import fingerprints, html_extract, media, mixing, neardup, packing, quality, secrets, toxicity, warc
 from factloom.llm.common import table
 
 #: The parameters that the queries and the pipeline use.
@@ -17,14 +17,34 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op7_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), NEAR)
 
