@@ -288,9 +288,9 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams(), id
 
 def dedup(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
     """documents with one row of each component; rows without words all stay. Columns unchanged."""
-    judged = near_duplicates(docs, params).where("kept").select("doc_id", "text_hash", F.col("n_shingles").alias("__n")).distinct()
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    own = docs.select(*docs.columns, key.alias("__hash")).withColumn("__id", F.col("doc_id").cast("long"))
-    rows = own.join(judged.select(F.col("doc_id").alias("__judged"), F.col("text_hash").alias("__th"), "__n"), (F.col("__id").eqNullSafe(F.col("__judged"))) & (F.col("__hash") == F.col("__th")))
-    first = rows.where("__n > 0").withColumn("__rn", F.row_number().over(W.partitionBy("__judged", "__th").orderBy("__hash"))).where("__rn = 1")
-    return first.select(*docs.columns).unionByName(rows.where("__n = 0").select(*docs.columns))
+    judged = near_duplicates(docs, params).where("kept").select("doc_id", "text_hash", "n_shingles").distinct()
+    # the row travels as one struct, so its own column names can't clash
+    own = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+    rows = own.join(judged, (F.col("id").eqNullSafe(F.col("doc_id"))) & (F.col("th") == F.col("text_hash")))
+    first = rows.where("n_shingles > 0").withColumn("rn", F.row_number().over(W.partitionBy("id", "th").orderBy("th"))).where("rn = 1")
+    return first.select("doc").unionByName(rows.where("n_shingles = 0").select("doc")).select(*[F.col("doc")[c].alias(c) for c in docs.columns])

@@ -137,29 +137,30 @@ def redact(docs: DataFrame, params: SecretParams = SecretParams(), mark: str = "
 
     The rows carry their text through one join on a digest of the scanned text, so repeated ids are safe.
     """
-    keyed = docs.withColumn("__row_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    freq = cut(ownership(candidates(docs.select(F.col("doc_id").alias("id"), "text", F.col("source").alias("owner"), F.concat_ws("\1", F.coalesce("source", F.lit("\0")), F.coalesce("lang", F.lit("\0"))).alias("repository")), params)), "secret-owners")
     p = params
-    live = freq.where((F.col("owners") <= p.max_owners) & (F.col("repositories") <= p.max_repositories)).select("hash")
-    # candidate hashes by text, then the live ones of each text
-    texts = candidates(docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("id"), "text", F.lit(None).cast("string").alias("owner"), F.lit(None).cast("string").alias("repository")), p)
-    hot = texts.select("id", F.explode(F.array_union(F.col("base.hash"), F.col("extra.hash"))).alias("hash")).distinct().join(live, "hash", "left_semi").groupBy("id").agg(F.collect_set("hash").alias("__live"))
-    joined = keyed.join(hot.withColumnRenamed("id", "__row_key"), "__row_key", "left").drop("__row_key")
-    schema = T.StructType(docs.schema.fields)
-    names = docs.columns
+    th = F.xxhash64(F.coalesce("text", F.lit("")))
+    repository = F.concat_ws("\1", F.coalesce("source", F.lit("\0")), F.coalesce("lang", F.lit("\0")))
+    found = cut(candidates(docs.select(th.alias("id"), "text", F.col("source").alias("owner"), repository.alias("repository")), p).where("size(base) + size(extra) > 0"), "secret-candidates")
+    live = ownership(found).where((F.col("owners") <= p.max_owners) & (F.col("repositories") <= p.max_repositories)).select("hash")
+    by_text = found.select("id", F.explode(F.array_union(F.col("base.hash"), F.col("extra.hash"))).alias("hash")).distinct()
+    by_text = by_text.join(live, "hash", "left_semi").groupBy("id").agg(F.collect_set("hash").alias("live"))
+    # the row travels as one struct, so its own column names can't clash
+    joined = docs.select(F.struct(*docs.columns).alias("doc"), th.alias("id")).join(by_text, "id", "left")
+    schema, names = T.StructType(docs.schema.fields), docs.columns
 
     def run(slices):
         for rows in slices:
             out = []
             for r in rows:
-                if r["__live"]:
-                    r = r | {"text": redacted(r["text"], set(r["__live"]), p.bits, mark)}
-                    if "n_chars" in r:
-                        r["n_chars"] = len(r["text"])
-                out.append(tuple(r[c] for c in names))
+                doc = r["doc"]
+                if r["live"]:
+                    doc["text"] = redacted(doc["text"], set(r["live"]), p.bits, mark)
+                    if "n_chars" in doc:
+                        doc["n_chars"] = len(doc["text"])
+                out.append(tuple(doc[c] for c in names))
             yield out
 
-    return map_rows(joined, run, schema)
+    return map_rows(joined.select("doc", "live"), run, schema)
 
 
 def redacted(text: str, live: set[int], bits: float, mark: str) -> str:
