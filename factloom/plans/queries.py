@@ -1,7 +1,10 @@
-"""Named queries over the test tables."""
+"""Every named query; importing the catalogue modules registers them."""
 
 from __future__ import annotations
 
+from factloom.plans import entities, joins, merges, reduction, reports, scalars_catalogue, streams  # noqa: F401
+from factloom.plans.registry import QUERIES, Query
 
-def queries() -> dict:
-    return {}
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
