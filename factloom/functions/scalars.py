@@ -170,3 +170,58 @@ def retry_after_seconds(header: Column | str, now: Column) -> Column:
     until = F.when(h.rlike("^[A-Z][a-z]{2}, "), F.try_to_timestamp(F.substring(h, 6, 20), F.lit("dd MMM yyyy HH:mm:ss")))
     value = F.coalesce(F.when(h.rlike(r"^\d{1,9}$"), h).try_cast("long"), F.unix_timestamp(until) - F.unix_timestamp(now))
     return F.greatest(F.lit(0), F.least(F.lit(86_400), value))
+
+
+def normalize_statement(text: Column | str) -> Column:
+    """Words without their outer punctuation, lower case, joined by one space."""
+    words = F.transform(F.split(F.trim(_c(text)), r"\s+"), lambda w: F.lower(F.regexp_replace(w, "^[^0-9A-Za-z]+|[^0-9A-Za-z]+$", "")))
+    return F.array_join(F.filter(words, lambda w: w != ""), " ")
+
+
+#: Role words that a person's name loses from its end; fixed values.
+ROLE_WORDS = ("head coach", "coach", "assistant", "director", "teacher", "principal")
+
+
+def sanitize_person(text: Column | str) -> Column:
+    """The name without trailing role words; null if only a role is left or there is a digit."""
+    t = F.trim(F.regexp_replace(F.lower(clean_text(text)), rf"[ ,-]*(({'|'.join(ROLE_WORDS)})[ ,-]*)+$", ""))
+    return F.when((t != "") & ~t.rlike("[0-9@]"), t)
+
+
+def surface_class(kinds: Column | str) -> Column:
+    """indoor, outdoor or xc if exactly one of them is named, else unresolved."""
+    named = F.array_intersect(_c(kinds), F.array(F.lit("indoor"), F.lit("outdoor"), F.lit("xc")))
+    return F.when(F.size(named) == 1, F.element_at(named, 1)).otherwise("unresolved")
+
+
+def season_label(surface: Column | str) -> Column:
+    s = _c(surface)
+    return F.when(s == "indoor", "Winter").when(s == "outdoor", "Spring").when(s == "xc", "Fall")
+
+
+def address_line(street: Column | str, city: Column | str, state: Column | str, postal: Column | str) -> Column:
+    """street, city, state postal; absent parts and their separators are left out."""
+    tail = F.nullif(F.concat_ws(" ", _c(state), _c(postal)), F.lit(""))
+    return F.concat_ws(", ", _c(street), _c(city), tail)
+
+
+def blocked(cooldown: Column | str, now: Column) -> Column:
+    """Whether access waits: a cooldown in the future, or one that can't be read; none given is free."""
+    c = _c(cooldown)
+    return F.when(c.isNull(), False).otherwise(F.coalesce(F.try_to_timestamp(c) > now, F.lit(True)))
+
+
+def label_kind(label: Column | str, kinds: dict[str, str], widest: int = 4) -> Column:
+    """The kind of a label: the whole compact label, else the widest window of its words that is known.
+
+    A window is looked up in compact form; of equally wide ones the first counts.
+    """
+    table = F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv])
+    words = F.filter(F.split(F.lower(_c(label)), "[^0-9a-z]+"), lambda w: w != "")
+
+    def first_window(k: int) -> Column:
+        starts = F.when(F.size(words) >= k, F.sequence(F.lit(1), F.size(words) - (k - 1)))
+        hits = F.transform(starts, lambda i: F.try_element_at(table, F.array_join(F.slice(words, i, F.lit(k)), "")))
+        return F.try_element_at(F.filter(hits, lambda x: x.isNotNull()), F.lit(1))
+
+    return F.coalesce(F.try_element_at(table, F.array_join(words, "")), *[first_window(k) for k in range(widest, 0, -1)])
