@@ -129,10 +129,9 @@ SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS label, count(*) AS n, date
 def completed_windows(spark, sf):
     """Daily windows and whether the observed time has passed their end."""
     e = load(spark, sf, "events").select("ts")
-    days = e.groupBy(F.date_trunc("day", "ts").alias("d")).agg(F.count("*").alias("n"), F.max("ts").alias("seen"))
-    newest = e.agg(F.max("ts").alias("newest"))
-    out = days.join(F.broadcast(newest))  # one row
-    return out.select(F.date_format("d", "yyyy-MM-dd").alias("label"), "n", (F.col("d") + F.expr("interval 1 day") <= F.col("newest")).alias("completed"))
+    days = e.groupBy(F.date_trunc("day", "ts").alias("d")).agg(F.count("*").alias("n"))
+    newest = e.agg(F.max("ts")).scalar()
+    return days.select(F.date_format("d", "yyyy-MM-dd").alias("label"), "n", (F.col("d") + F.expr("interval 1 day") <= newest).alias("completed"))
 
 
 @query("""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from factloom.operators import best
+from factloom.operators import best, guards
 from factloom.plans.registry import query
 from factloom.sources.tables import day, load, money
 
@@ -151,7 +151,8 @@ def approx_distinct(spark, sf):
 @query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) <= 12")
 def group_guard(spark, sf):
     """Groups over the budget are refused whole, never cut."""
-    return load(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n")).where("n <= 12")
+    kept, _ = guards.refuse_groups(load(spark, sf, "orders").select("o_custkey"), ["o_custkey"], 12)
+    return kept.groupBy("o_custkey").agg(F.count("*").alias("n"))
 
 
 @query("""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from factloom.operators import guards
 from factloom.plans.registry import query
 from factloom.sources.tables import day, load
 
@@ -60,7 +61,7 @@ SELECT *, registered >= attempted AND attempted >= captured AND captured >= acce
 def funnel_check(spark, sf):
     of = lambda c: F.count_if(c)
     e = load(spark, sf, "events").groupBy("user_id").agg(F.count("*").alias("registered"), of(F.col("event_type") != "error").alias("attempted"), of(F.col("event_type").isin("click", "purchase")).alias("captured"), of(F.col("event_type") == "purchase").alias("accepted"))
-    return e.withColumn("monotone", F.expr("registered >= attempted and attempted >= captured and captured >= accepted"))
+    return guards.monotone(e, ["registered", "attempted", "captured", "accepted"])
 
 
 @query("""

@@ -50,6 +50,13 @@ def observation_credit(spark, sf):
     return once.groupBy("event_type").agg(F.count("*").alias("n"))
 
 
+@query("SELECT user_id, count(*) AS n FROM events GROUP BY 1")
+def stateful_counts(spark, sf):
+    """The last emitted state of each user."""
+    updates = E.run_to_table(E.running_counts(E.read_events(spark, sf).select("user_id", "event_id")), "update")
+    return updates.groupBy("user_id").agg(F.max("n").alias("n"))
+
+
 @query("SELECT CASE WHEN ts > TIMESTAMP '2024-01-20 00:00:00' THEN 'future' ELSE 'admitted' END AS intake, count(*) AS n FROM events GROUP BY 1")
 def late_routing(spark, sf):
     routed = E.run_to_table(E.route_late(E.read_events(spark, sf), "2024-01-20 00:00:00").select("event_id", "intake"), "append")

@@ -57,6 +57,11 @@ class Store:
     def read(self, table: str, generation: int | None = None) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{table}/generation={generation or self.generation(table)}")
 
+    def inspect(self) -> list[tuple[str, int, int]]:
+        """(table, current generation, rows) of every derived table; counts come from Parquet footers."""
+        found = sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(self.root)) if s.isDirectory())
+        return [(t, n, self.read(t).count()) for t in found if (n := self.generation(t))]
+
     def reclaim(self, table: str) -> int:
         """Delete generations before the current one."""
         now, gone = self.generation(table), 0

@@ -23,3 +23,9 @@ def day(column: str):
 def money(column: str):
     """A double with two decimals as an exact decimal, so that sums don't depend on their order."""
     return F.col(column).cast("decimal(18,2)")
+
+
+def register(spark: SparkSession, sf_dir: str) -> None:
+    """All tables as temporary views, for spark.sql."""
+    for name in NAMES:
+        load(spark, sf_dir, name).createOrReplaceTempView(name)

@@ -41,6 +41,20 @@ def credited_once(events: DataFrame, late: str = "1 day") -> DataFrame:
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
 
 
+def running_counts(events: DataFrame) -> DataFrame:
+    """A keyed state: each user's number of events so far, emitted whenever it changes."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    def step(key, frames, state):
+        import pandas as pd
+
+        n = (state.get[0] if state.exists else 0) + sum(len(f) for f in frames)
+        state.update((n,))
+        yield pd.DataFrame({"user_id": [key[0]], "n": [n]})
+
+    return events.groupBy("user_id").applyInPandasWithState(step, "user_id long, n long", "n long", "update", GroupStateTimeout.NoTimeout)
+
+
 def run_to_table(stream: DataFrame, mode: str = "complete", sink: Callable[[DataFrame, int], None] | None = None) -> DataFrame | None:
     """Run all available input; with sink, each micro-batch goes to it, else the result is a table read back.
 

@@ -2,7 +2,10 @@
 
 import random
 
-from factloom.operators import best, merge, relate, resolve
+import pytest
+
+from factloom.operators import best, guards, history, merge, relate, resolve
+from factloom.operators.profile import Profile
 
 
 def test_merge_laws(spark):
@@ -75,3 +78,24 @@ def test_unique_match_never_multiplies(spark):
     left = spark.createDataFrame([(1,), (2,), (3,)], "p int")
     right = spark.createDataFrame([(1, 10), (2, 20), (2, 21)], "p int, id int")
     assert sorted((r.p, r.outcome, r.match) for r in relate.unique_match(left, right, ["p"], "id").collect()) == [(1, "unique", 10), (2, "ambiguous", None), (3, "absent", None)]
+
+
+def test_guards_refuse(spark):
+    df = spark.range(10)
+    assert guards.within_rows(df, 10).count() == 10
+    with pytest.raises(Exception):
+        guards.within_rows(df, 9).count()
+    kept, refused = guards.refuse_groups(spark.createDataFrame([(1,), (1,), (2,)], "k int"), ["k"], 1)
+    assert [r.k for r in kept.collect()] == [2] and [(r.k, r["size"]) for r in refused.collect()] == [(1, 2)]
+
+
+def test_identity_replay(spark):
+    rows = [(1, "merge", 1, 2), (2, "merge", 3, 2), (3, "split", 2, 3), (4, "merge", 7, 5), (5, "revoke", 5, 7), (6, "merge", 5, 7)]
+    got = {r.id: r.canonical for r in history.replay(spark.createDataFrame(rows, "seq int, kind string, a int, b int")).collect()}
+    assert got == {1: 1, 2: 1, 5: 5, 7: 5}
+
+
+def test_profile():
+    assert Profile(places=("b", "a", "a")).id == Profile(places=("a", "b")).id != Profile(places=("a",)).id
+    with pytest.raises(ValueError):
+        Profile(first="2025-01-01", last="2024-01-01")

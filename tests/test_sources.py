@@ -58,7 +58,7 @@ def test_store(spark, tmp_path):
     with pytest.raises(ValueError):
         store.commit_once("t", "op1", spark.range(11))
     assert store.publish("d", df) == 1 and store.publish("d", spark.range(3)) == 2 and store.read("d").count() == 3 and store.read("d", 1).count() == 10
-    assert store.reclaim("d") == 1
+    assert store.reclaim("d") == 1 and store.inspect() == [("d", 2, 3)]
     store.append("log", df, [F.col("id")])
     store.append("log", df, [F.col("id")])
     assert sorted(r.seq for r in spark.read.parquet(f"{store.root}/log/log").collect()) == list(range(20))
