@@ -46,7 +46,7 @@ def op7_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"), NEAR)
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), NEAR).drop("text_hash")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
