@@ -3,7 +3,7 @@
 The categories are predicted one after the other by linear (logistic) models over the presence of
 terms; the probability of every earlier category is a feature of the later ones. While training,
 earlier probabilities are out of fold, so later models learn from predictions as unsure as those
-they will get. Terms are chosen by the chi-square of their presence against the last label.
+they will get. Terms are chosen by how far their presence departs from independence of the last label.
 
 The labels' table marks toxicity as a whole, the chain's last category. Earlier ones are weak labels:
 a toxic document that has one of the category's seed words. With other label columns, pass them
@@ -38,10 +38,12 @@ SEEDS = {
 
 @dataclass(frozen=True)
 class ToxicityParams:
-    """max_train: the bound on labelled rows that are fitted; max_terms: features of a model."""
+    """max_train: the bound on labelled rows that are fitted; max_terms: features of a model; strength:
+    least standard deviations between a term's toxic rows and their expected number."""
 
-    max_train: int = 8000
+    max_train: int = 16_000
     max_terms: int = 256
+    strength: float = 4.0
     least_rows: int = 4
     folds: int = 4
     steps: int = 250
@@ -121,9 +123,10 @@ def train(docs: DataFrame, labels: DataFrame, p: ToxicityParams) -> Chain:
     sample = cut(map_rows(rows, run, schema), "toxicity-sample")
     n, ones = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     by_term = sample.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"), F.sum("label").alias("k")).where(F.col("n") >= p.least_rows)
-    expected = F.col("n") * F.lit(ones / max(n, 1))
-    strength = F.abs(F.col("k") - expected) / F.sqrt(expected + F.lit(0.5))
-    chosen = [r["term"] for r in by_term.orderBy(strength.desc(), "term").limit(p.max_terms).collect()]
+    share = ones / max(n, 1)
+    expected = F.col("n") * F.lit(share)
+    strength = F.abs(F.col("k") - expected) / F.sqrt(expected * F.lit(1 - share) + F.lit(0.25))
+    chosen = [r["term"] for r in by_term.where(strength >= p.strength).orderBy(strength.desc(), "term").limit(p.max_terms).collect()]
     chosen += [t for seeds in SEEDS.values() for t in seeds if t not in chosen]
     vocabulary = {t: i for i, t in enumerate(chosen)}
     kept = sample.select("key", "label", F.array_intersect("terms", F.array(*map(F.lit, chosen))).alias("terms")).collect()

@@ -224,11 +224,14 @@ def test_quality_on_held_out_rows(docs, labels):
     assert all(len(s) == 1 for s in by_text.values())
 
 
-def test_toxicity_on_unseen_labels(spark, docs, labels):
+def test_toxicity_on_unseen_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     truth = {r.doc_id: r.toxic for r in labels.collect()}
     seen = labels.where("doc_id % 3 <> 0")
     got = [r for r in toxicity.score_toxicity(docs, seen).collect() if r.doc_id % 3 == 0 and truth.get(r.doc_id) is not None]
-    assert sum(r.predicted == truth[r.doc_id] for r in got) >= 0.97 * len(got)
+    assert sum(r.predicted == truth[r.doc_id] for r in got) >= 0.98 * len(got)
+    assert sum(r.predicted > truth[r.doc_id] for r in got) <= 0.002 * len(got)
 
 
 def test_fingerprints(docs, texts):
