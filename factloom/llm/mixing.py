@@ -32,12 +32,14 @@ SALTS = 16
 
 @dataclass(frozen=True)
 class MixParams:
-    """weights repeat over the sources in code point order; shards is 2 ** depth."""
+    """weights repeat over the sources in code point order; there are 2 ** depth shards, and a task
+    writes about shard_words words of one."""
 
     weights: tuple[int, ...] = (1, 2, 3)
     max_repeat: int = 3
     depth: int = 4
     blocks: int = 2048
+    shard_words: int = 2_000_000
     seed: int = 17
 
 
@@ -47,10 +49,11 @@ def words(text: Column) -> Column:
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """Per row: row, id, skey and snull (the source), size, salt."""
+    """Per row: row, id, th (hash of the text), skey and snull (the source), size, salt."""
     return docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("id").cast("long").alias("id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
         F.coalesce("source", F.lit("")).alias("skey"),
         F.col("source").isNull().alias("snull"),
         words(F.col("text")).alias("size"),
@@ -103,7 +106,7 @@ def split(tokens: DataFrame, p: MixParams) -> DataFrame:
 
 
 def mix(docs: DataFrame, params: MixParams = MixParams(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Per input row: doc_id, source, size, source_size, target, draws: array of (pass, shard, place).
+    """Per input row: doc_id, source, size, source_size, target, draws (array of pass, shard, place), text_hash.
 
     The mixture is the exploded draws; place orders a shard's documents.
     """
@@ -112,7 +115,7 @@ def mix(docs: DataFrame, params: MixParams = MixParams(), id_col: str = "doc_id"
     src = cut(targets(rows, p), "mix-targets")
     salted = src.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = rows.join(salted, ["skey", "snull", "salt"]).withColumn("block", F.pmod(F.xxhash64(F.lit(p.seed), "id"), F.col("blocks")))
-    dealt = dealt.select("row", "id", "skey", "snull", "size", "source_size", "target", "block")
+    dealt = dealt.select("row", "id", "th", "skey", "snull", "size", "source_size", "target", "block")
     per_block = dealt.groupBy("skey", "snull", "block").agg(F.sum("size").alias("words"), F.any_value("source_size").alias("source_size"), F.any_value("target").alias("target"))
     quota = cut(quotas(per_block, p), "mix-quotas")
     passes = F.when(F.col("base") + F.col("last").cast("long") > 0, F.sequence(F.lit(0).cast("long"), F.col("base") + F.col("last").cast("long") - 1))
@@ -134,7 +137,7 @@ def mix(docs: DataFrame, params: MixParams = MixParams(), id_col: str = "doc_id"
     out = out.withColumn("extra", extra)
     kept = F.filter("leaves", lambda d: (F.col("size") > 0) & ((d["pass"] < F.col("base")) | F.col("extra")))
     none = F.array().cast("array<struct<pass:bigint,shard:int,place:bigint>>")
-    return out.select(F.col("row"), F.col("id").alias("doc_id"), F.when(~F.col("snull"), F.col("skey")).alias("source"), "size", "source_size", "target", F.coalesce(F.transform(kept, place), none).alias("draws"))
+    return out.select(F.col("row"), F.col("id").alias("doc_id"), F.when(~F.col("snull"), F.col("skey")).alias("source"), "size", "source_size", "target", F.coalesce(F.transform(kept, place), none).alias("draws"), F.col("th").alias("text_hash"))
 
 
 def digest(mixed: DataFrame) -> DataFrame:
@@ -143,15 +146,23 @@ def digest(mixed: DataFrame) -> DataFrame:
 
 
 def mixture(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
-    """documents as the mixture takes them: a row for each draw, shards together, shuffled inside."""
-    columns = docs.columns
-    packed = docs.select("doc_id", "text", "source", F.struct(*columns).alias("doc")).withColumn("copy", F.xxhash64("doc"))
-    drawn = mix(docs, params).where(F.size("draws") > 0)
-    times = drawn.groupBy("doc_id", "source").agg(F.flatten(F.collect_list("draws")).alias("draws"), F.count("*").alias("rows"))
-    # rows that repeat a doc_id share its draws: one document row stands for all of them
-    one = packed.groupBy("doc_id", "source").agg(F.min_by("doc", "copy").alias("doc"))
-    both = one.withColumn("snull", F.col("source").isNull()).withColumn("skey", F.coalesce("source", F.lit(""))).drop("source")
-    times = times.withColumn("snull", F.col("source").isNull()).withColumn("skey", F.coalesce("source", F.lit(""))).drop("source")
-    out = both.join(times, ["doc_id", "skey", "snull"]).select("doc", F.explode("draws").alias("d"))
-    out = out.repartition("d.shard").sortWithinPartitions("d.shard", "d.place")
+    """documents as the mixture takes them: a row for each draw, shards together, shuffled inside.
+
+    A shard beyond shard_words goes out in parts by its random order, so a task's share of the output
+    doesn't grow with the corpus. Rows that repeat doc_id, text and source share the draws of all of them.
+    """
+    columns, p = docs.columns, params
+    key = ["id", "inull", "th", "skey", "snull"]
+    id_ = F.col("doc_id").cast("long")
+    known = [F.coalesce(id_, F.lit(0)).alias("id"), id_.isNull().alias("inull"), F.coalesce("source", F.lit("")).alias("skey"), F.col("source").isNull().alias("snull")]
+    doc = F.struct(*columns)
+    th = F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")
+    one = docs.select(doc.alias("doc"), F.xxhash64(doc).alias("copy"), th, *known).groupBy(*key).agg(F.min_by("doc", "copy").alias("doc"))
+    drawn = cut(mix(docs, p).where(F.size("draws") > 0), "mix-draws")
+    total = drawn.agg(F.coalesce(F.sum(F.col("size") * F.size("draws")), F.lit(0))).first()[0]
+    parts = max(1, -(-total // (2**p.depth * p.shard_words)))
+    times = drawn.select(F.col("text_hash").alias("th"), *known, "draws").groupBy(*key).agg(F.flatten(F.collect_list("draws")).alias("draws"))
+    out = one.join(times, key).select("doc", F.explode("draws").alias("d"))
+    out = out.select("doc", F.col("d")["shard"].alias("shard"), F.pmod(F.col("d")["place"], F.lit(parts)).alias("part"), F.col("d")["place"].alias("place"))
+    out = out.repartition("shard", "part").sortWithinPartitions("shard", "part", "place")
     return out.select(*[F.col("doc")[c].alias(c) for c in columns])
