@@ -9,7 +9,8 @@ sketch propose candidates; every link is confirmed on whole shingle sets.
 Work is kept near linear by classes: documents with equal shingle sets are one node. Nodes that
 share a band key are first compared with one centre of that key; what is then joined is done.
 Keys that still hold several components are searched in blocks of bounded size, and only pairs
-whose sketches come near the threshold are verified. No partner or bucket is capped.
+whose sketches come near the threshold are verified: first each member's three best, then, between
+the components that are left, every one. No partner or bucket is capped.
 
 Defined cases: null or empty text, or text without words: empty set, linked with nothing, own
 component. Fewer words than the shingle length: one shingle of all words. Repeated rows: equal sets,
@@ -39,14 +40,14 @@ class NearDupParams:
     """words: shingle length; percent: least 100 * likeness; bands * rows coordinates in a sketch.
 
     slack: a pair whose share of equal sketch coordinates is below percent/100 - slack isn't
-    verified (3.6 standard deviations at 252 coordinates and a likeness of 0.85).
+    verified (3.3 standard deviations at 252 coordinates and a likeness of 0.85).
     """
 
     words: int = 5
     percent: int = 80
     bands: int = 42
     rows: int = 6
-    slack: float = 0.08
+    slack: float = 0.075
     block: int = 2048
 
     @property
@@ -194,22 +195,35 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
+def extended(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """labels with further links: only the components that the new links join are worked on."""
+    of_a = labels.select(F.col("v").alias("a"), F.col("label").alias("la"))
+    of_b = labels.select(F.col("v").alias("b"), F.col("label").alias("lb"))
+    ends = more.join(of_a, "a", "left").join(of_b, "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+    joined = components(ends)
+    roots = joined.select(F.col("v").alias("label"), F.col("label").alias("root"))
+    old = labels.join(roots, "label", "left").select("v", F.coalesce("root", "label").alias("label"))
+    return cut(old.unionByName(joined.join(labels, "v", "left_anti")), "cc-labels")
+
+
 def _near(p: NearDupParams):
     """Column test of two sketches' sizes; the set sizes alone rule most false candidates out."""
     return (F.col("n") * 100 >= F.col("m") * p.percent) & (F.col("m") * 100 >= F.col("n") * p.percent)
 
 
-def _block_pairs(rows: DataFrame, p: NearDupParams) -> DataFrame:
+def _block_pairs(rows: DataFrame, p: NearDupParams, top: int | None) -> DataFrame:
     """Pairs of different components in a key whose sketches come near the threshold.
 
-    rows: key, cid, comp, n, sk. A key with more than p.block members is dealt out as pairs of
-    blocks, each compared by one bounded group.
+    rows: key, cid, comp, n, sk, keys. A key with more than p.block members is dealt out as pairs of
+    blocks, each compared by one bounded group. A pair is found in the first key that its members
+    share, once. With top, a member proposes its best few only: a round that joins most of what can be
+    joined before all remaining pairs are taken.
     """
     sizes = rows.groupBy("key").agg(F.count("*").alias("members"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
     nb = F.ceil(F.col("members") / p.block).cast("int")
     dealt = rows.join(sizes.select("key", nb.alias("nb")), "key").withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1))
-    dealt = dealt.withColumn("o", other).select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "cid", "comp", "n", "sk")
+    dealt = dealt.withColumn("o", other).select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "cid", "comp", "n", "sk", "keys")
     dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
     least = int(np.ceil((p.percent / 100 - p.slack) * p.t))
@@ -222,6 +236,7 @@ def _block_pairs(rows: DataFrame, p: NearDupParams) -> DataFrame:
             return []
         ids = {c: k for k, c in enumerate({r["comp"] for r in group})}
         sk = np.frombuffer(b"".join(r["sk"] for r in right), np.uint8).reshape(len(right), p.t)
+        keys = np.array([r["keys"] for r in right])
         n, comp = np.array([r["n"] for r in right]), np.array([ids[r["comp"]] for r in right])
         out = []
         for at, r in enumerate(left):
@@ -231,7 +246,14 @@ def _block_pairs(rows: DataFrame, p: NearDupParams) -> DataFrame:
             near = np.flatnonzero(ok)
             if len(near):
                 same = (sk[near] == np.frombuffer(r["sk"], np.uint8)).sum(1)
-                for q in near[same >= least]:
+                near, same = near[same >= least], same[same >= least]
+            if len(near):
+                mine = np.array(r["keys"])
+                here = mine[(keys[near] == mine).argmax(1)] == r["key"]
+                near, same = near[here], same[here]
+                if top:
+                    near = near[np.argsort(-same, kind="stable")[:top]]
+                for q in near:
                     a, b = r["cid"], right[q]["cid"]
                     out.append((min(a, b), max(a, b)))
         return out
@@ -249,7 +271,7 @@ def _block_pairs(rows: DataFrame, p: NearDupParams) -> DataFrame:
         if held:
             yield found(held)
 
-    return map_rows(dealt, run, schema).distinct()
+    return map_rows(dealt, run, schema)
 
 
 def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -265,18 +287,22 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams(), id
     # the centre of a key is its member with the most shared keys
     degree = members.groupBy("cid").agg(F.count("*").alias("deg"))
     centre = members.join(degree, "cid").groupBy("key").agg(F.max(F.struct("deg", "cid")).alias("c")).select("key", F.col("c.cid").alias("a"))
-    light = nodes.select("cid", "n", "sk")
+    light = nodes.select("cid", "n")
     star = members.join(centre, "key").where("cid <> a").groupBy("a", F.col("cid").alias("b")).agg(F.count("*").alias("hits"))
     star = star.groupBy("b").agg(F.max(F.struct("hits", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
     star = cut(star.join(light.select(F.col("cid").alias("b"), "n"), "b").join(light.select(F.col("cid").alias("a"), F.col("n").alias("m")), "a").where(_near(p)).select("a", "b"), "neardup-star")
-    links = _verify(star, nodes, docs, p)
-    labels = components(links)
-    # what is left: keys that still hold several components
-    rows = members.join(light, "cid").join(labels.withColumnRenamed("v", "cid"), "cid", "left").withColumn("comp", F.coalesce("label", "cid")).select("key", "cid", "comp", "n", "sk")
-    ordered = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = cut(_block_pairs(rows, p).join(ordered, ["a", "b"], "left_anti"), "neardup-rest")
-    more = _verify(rest, nodes, docs, p)
-    labels = components(links.unionByName(more))
+    labels = components(_verify(star, nodes, docs, p))
+    # what is left: keys that still hold several components, first each member's best candidates, then all
+    light = nodes.select("cid", "n", "sk", "keys")
+    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for top in (3, None):
+        of = labels.withColumnRenamed("v", "cid")
+        rows = members.join(light, "cid").join(of, "cid", "left").withColumn("comp", F.coalesce("label", "cid")).select("key", "cid", "comp", "n", "sk", "keys")
+        rest = cut(_block_pairs(rows, p, top).join(tried, ["a", "b"], "left_anti"), "neardup-rest")
+        if rest.isEmpty():
+            continue
+        labels = extended(labels, _verify(rest, nodes, docs, p))
+        tried = tried.unionByName(rest)
     firsts = nodes.select("cid", F.col("rep.id").alias("first"))
     linked = firsts.join(labels.withColumnRenamed("v", "cid"), "cid")
     least = linked.groupBy("label").agg(F.min("first").alias("component"))
