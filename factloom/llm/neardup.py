@@ -14,7 +14,8 @@ the components that are left, every one. No partner or bucket is capped.
 
 Defined cases: null or empty text, or text without words: empty set, linked with nothing, own
 component. Fewer words than the shingle length: one shingle of all words. Repeated rows: equal sets,
-one class. Repeated doc_id: each row is judged by its own text. Extra columns are ignored.
+one class. Repeated doc_id: each row is judged by its own text. Null doc_id: linked like others, never
+the least of a component that has an id. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -135,8 +136,9 @@ def features(docs: DataFrame, p: NearDupParams) -> DataFrame:
 def _verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, p: NearDupParams) -> DataFrame:
     """The pairs (a, b) of class digests whose whole sets reach the threshold."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    needed = nodes.join(ends, "cid", "left_semi").select("cid", F.col("rep.id").alias("id"), F.col("rep.th").alias("th"))
-    texts = docs.withColumn("th", F.xxhash64(F.coalesce("text", F.lit("")))).join(needed, ["id", "th"]).dropDuplicates(["cid"]).select("cid", "text")
+    needed = nodes.join(ends, "cid", "left_semi").select("cid", F.col("rep.id").alias("rid"), F.col("rep.th").alias("rth"))
+    hashed = docs.withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
+    texts = hashed.join(needed, F.col("id").eqNullSafe(F.col("rid")) & (F.col("th") == F.col("rth"))).dropDuplicates(["cid"]).select("cid", "text")
     texts = cut(texts, "neardup-texts")
     both = pairs.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a")), "a")
     schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
@@ -280,7 +282,7 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams(), id
     docs = pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
     feats = cut(features(docs, p), "neardup-features")
     # one node for each distinct set, whatever the number of copies
-    nodes = cut(feats.where("n > 0").groupBy("cid").agg(F.min(F.struct("id", "th")).alias("rep"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys"), F.any_value("sk").alias("sk")), "neardup-nodes")
+    nodes = cut(feats.where("n > 0").groupBy("cid").agg(F.coalesce(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "th"))), F.min(F.struct("id", "th"))).alias("rep"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys"), F.any_value("sk").alias("sk")), "neardup-nodes")
     keyed = nodes.select("cid", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
     members = cut(keyed.join(shared, "key", "left_semi"), "neardup-members")

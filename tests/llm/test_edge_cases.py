@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from factloom.llm import fingerprints, html_extract, media, mixing, neardup, packing, quality, secrets, toxicity, warc
 from factloom.llm.queries import tokenizer_path
@@ -46,6 +47,10 @@ def test_near_duplicates(docs, empty):
     assert [g for g in got if g[0] in (1, 2)] == [(1, 0, 1, True), (2, 0, 2, True)]
     assert len(got) == len(ROWS)
     assert neardup.near_duplicates(empty).count() == 0
+    twin = docs.where("doc_id = 4").limit(1).withColumn("doc_id", F.lit(None).cast("long"))
+    near = twin.withColumn("text", F.concat("text", F.lit(" again")))
+    with_null = neardup.near_duplicates(docs.unionByName(twin).unionByName(near), neardup.NearDupParams(words=2, percent=60)).where("doc_id is null and n_shingles > 8").collect()
+    assert [r.component_id for r in with_null] == [4, 4]
     kept = neardup.dedup(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6]
@@ -71,7 +76,9 @@ def test_mixing(docs, empty):
     assert len(got) == len(ROWS)
     assert all(r.taken <= 3 * r["size"] for r in got)
     assert mixing.mix(empty).count() == 0
-    assert mixing.mixture(docs).columns == docs.columns
+    mixed = mixing.mixture(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.count() == sum(len(r.draws) for r in mixing.mix(docs).collect())
     assert mixing.mixture(empty).count() == 0
 
 
