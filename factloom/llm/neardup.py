@@ -135,7 +135,7 @@ def features(docs: DataFrame, p: NearDupParams) -> DataFrame:
 
 def _verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, p: NearDupParams) -> DataFrame:
     """The pairs (a, b) of class digests whose whole sets reach the threshold."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    ends = pairs.select(F.col("a").alias("cid")).distinct().union(pairs.select("b").distinct()).distinct()
     needed = nodes.join(ends, "cid", "left_semi").select("cid", F.col("rep.id").alias("rid"), F.col("rep.th").alias("rth"))
     hashed = docs.withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
     texts = hashed.join(needed, F.col("id").eqNullSafe(F.col("rid")) & (F.col("th") == F.col("rth"))).dropDuplicates(["cid"]).select("cid", "text")
