@@ -5,7 +5,7 @@ earn points for length and commas and pass them to their ancestors, halved at th
 thinned further up; a container's points are discounted by its link density. The best container
 (widened to the article or main element that holds it) and those siblings that score near it,
 or read like text, are kept. Boilerplate is left out at any depth: menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts, styles.
+adverts, forms, comments, scripts, styles. Where only a class or id tells it, the element's text has a say too.
 
 Text: character references decoded, white space inside a block as one space, trimmed, blocks joined in
 page order by one space. Defined cases: null or empty html: empty text; broken markup: elements close
@@ -35,28 +35,49 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"d
 ROLES = frozenset("navigation banner complementary contentinfo search menu menubar dialog alert alertdialog form".split())
 #: Words of class or id names that mark boilerplate, matched as whole name parts.
 MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside footer header masthead banner cookie cookies consent gdpr notice notices popup modal overlay comment comments commentlist disqus reply replies respond discussion share sharing social related recommended newsletter subscribe subscription signup login search toolbar pagination pager widget widgets skip copyright legal disclaimer".split())
+#: Marks that say what an element is wherever it stands; the others may also name a layout or an article's subject.
+SURE = frozenset("ad ads advert adverts advertisement advertising sponsored promo breadcrumb breadcrumbs cookie cookies consent gdpr popup modal overlay comment comments commentlist disqus reply replies respond share sharing recommended newsletter subscribe subscription signup login toolbar pagination pager skip".split())
+#: Name parts that add nothing to a mark, and first parts that tell of a wrapper's state, not of its text.
+SHAPE = frozenset("site page box block section wrapper wrap container area list links link bar left right top bottom inner outer item items form button buttons icon icons title posts articles".split())
+STATE = frozenset("has with no without is not show".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PART = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
 GOOD = frozenset("article main content post entry story body text".split())
 
 
 class Node:
-    __slots__ = ("bad", "commas", "kids", "links", "length", "name", "parent", "score", "words")
+    __slots__ = ("bad", "commas", "good", "kids", "links", "length", "mark", "name", "names", "parent", "score", "words")
 
     def __init__(self, name: str, parent: Node | None, attributes: str = ""):
         self.name, self.parent, self.kids = name, parent, []
         self.score, self.length, self.links, self.commas = 0.0, 0, 0, 0
         self.words: set[str] = set()
         self.bad = name in DROPPED
+        #: mark: how its names mark it ("", "loose": in a longer name, "plain", "sure"); good: a name of GOOD words only.
+        self.mark, self.good, self.names = "", False, []
         if attributes and not attributes.isspace():
             for key, *values in ATTRIBUTE.findall(attributes):
                 value = next(filter(None, values), "")
                 key = key.lower()
                 if key in ("class", "id"):
-                    self.words.update(w.lower() for w in PART.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower()) if w)
+                    for one in value.split():
+                        parts = [w for w in PART.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", one).lower()) if w]
+                        self.words.update(parts)
+                        self.names.append((key, parts))
                 elif key == "role" and value.lower() in ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
                     self.bad = True
-        if self.words & MARKS and name not in ("html", "body", "article", "main"):
-            self.bad = True
+        if self.names and name not in ("html", "body"):
+            self.judge_names()
+
+    def judge_names(self) -> None:
+        for _, parts in self.names:
+            marks = MARKS.intersection(parts)
+            if not marks:
+                self.good = self.good or bool(parts) and GOOD.issuperset(parts)
+            elif parts[0] not in STATE and self.name not in ("article", "main"):
+                plain = (MARKS | SHAPE | GOOD).issuperset(parts)
+                kind = "loose" if not plain else "sure" if marks & SURE else "plain"
+                self.mark = max(self.mark, kind, key=("", "loose", "plain", "sure").index)
 
 
 def parse(page: str) -> Node:
@@ -136,6 +157,83 @@ def walk(root: Node):
             todo += [k for k in x.kids if not isinstance(k, str)]
 
 
+def prose(node: Node) -> int:
+    """Characters of the node's blocks that read like text: 25 or more, few of them in links."""
+    total, todo = 0, [node]
+    while todo:
+        x = todo.pop()
+        if x.bad:
+            continue
+        length = links = 0
+        inline: list = [(k, x.name == "a") for k in x.kids]
+        while inline:
+            k, link = inline.pop()
+            if isinstance(k, str):
+                n = len(" ".join(k.split()))
+                length, links = length + n, links + n * link
+            elif k.name in BLOCK:
+                todo.append(k)
+            elif not k.bad:
+                inline += [(j, link or k.name == "a") for j in k.kids]
+        if length >= 25 and links < 0.25 * length:
+            total += length
+    return total
+
+
+def drop_marked(root: Node) -> None:
+    """Marked elements that are boilerplate become bad; a mark alone drops no text of the article.
+
+    A mark in an element's name stands against what the element holds. Kept are: wrappers of the article;
+    elements with another name of GOOD words; sections named after their subject (a mark in a longer name, or
+    the words of their own heading); and what holds most of the page's text.
+    """
+    every = list(walk(root))
+    if not any(x.mark for x in every):
+        return
+    outer: list[Node] = []
+    inside: dict[int, bool] = {}
+    under: set[int] = set()
+    for x in every:
+        up = x.parent
+        inside[id(x)] = up is not None and (inside[id(up)] or up.name in ("article", "main") or up.good and not up.mark)
+        if up is not None and (up.mark or id(up) in under):
+            under.add(id(x))
+        elif x.mark:
+            outer.append(x)
+    holds: set[int] = set()
+    articles = [x for x in every if x.name in ("article", "main") and not any(SURE.intersection(parts) for _, parts in x.names)]
+    free = any(id(x) not in under for x in articles)
+    for x in articles:
+        up = x.parent
+        while up is not None and (x.name == "main" or not free):
+            holds.add(id(up))
+            up = up.parent
+    total = prose(root)
+    rest = total - sum(prose(x) for x in outer)
+    todo = [root]
+    while todo:
+        x = todo.pop()
+        if x.mark and not x.bad and not (id(x) in holds or stays(x, inside[id(x)], total, rest)):
+            x.bad = True
+        if not x.bad:
+            todo += [k for k in x.kids if not isinstance(k, str)]
+
+
+def stays(x: Node, inside: bool, total: int, rest: int) -> bool:
+    """Whether a marked element belongs to the text: inside, it lies in the article; rest is the page's unmarked prose."""
+    if x.name in HEADINGS:
+        said = set(PART.split(text_of([x]).lower()))
+        return all(key == "id" and said.issuperset(parts) for key, parts in x.names if MARKS.intersection(parts))
+    mine = prose(x)
+    if x.mark == "sure":
+        return mine > 20 * rest
+    if x.name not in BLOCK:
+        return x.mark == "loose" and x.name != "a" and not any(not isinstance(k, str) and k.name == "a" for k in x.kids)
+    if 2 * mine >= total > 0 or x.good and mine:
+        return True
+    return mine >= (25 if x.mark == "loose" else 80) and (inside or x.mark == "loose" and x.name == "section")
+
+
 def measure(root: Node) -> list[Node]:
     """Set each element's score, text length and link length; elements, parents first."""
     every = list(walk(root))
@@ -191,6 +289,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    drop_marked(root)
     every = measure(root)
     inside = [x for x in every if x.name not in ("#root", "html", "a", "p", "h1", "h2", "h3")]
     best = max(inside, key=lambda x: x.score, default=None)

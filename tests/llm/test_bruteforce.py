@@ -316,3 +316,36 @@ def test_html_of_every_test_page(spark):
         import html as h
 
         assert r.text.split() == h.unescape(bare).split() and r.n_chars == len(r.text)
+
+
+LONG = [f"Paragraph {i} of the article, which is long enough, with commas, to be read as text by anyone." for i in range(4)]
+
+
+def paragraphs(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<div class='content has-sidebar'><article>{paragraphs(LONG)}</article></div>",
+        f"<div class='sidebar-layout'><article>{paragraphs(LONG)}</article></div>",
+        f"<div class='page header-wrap'><main>{paragraphs(LONG)}</main></div>",
+        f"<div class='menu-open'>{paragraphs(LONG)}</div>",
+        f"<article>{paragraphs(LONG[:3])}<section id='related-work'>{paragraphs(LONG[3:])}</section></article>",
+        f"<div class='content'>{paragraphs(LONG[:3])}<section id='social-policy'>{paragraphs(LONG[3:])}</section></div>",
+        f"<article>{paragraphs(LONG[:3])}<section id='discussion'>{paragraphs(LONG[3:])}</section><div class='ad'>{paragraphs(['Buy this thing now, it is cheap, and it is good.'])}</div></article>",
+    ],
+)
+def test_html_marks_do_not_drop_the_article(body):
+    assert html_extract.main_text(PAGE.replace("{body}", body)) == " ".join(LONG)
+
+
+def test_html_heading_named_after_its_words():
+    body = f"<article>{paragraphs(LONG[:2])}<h2 id='related-work'>Related work</h2>{paragraphs(LONG[2:])}<h3 class='widget-title'>More</h3></article>"
+    assert html_extract.main_text(PAGE.replace("{body}", body)) == " ".join([*LONG[:2], "Related work", *LONG[2:]])
+
+
+def test_html_comments_in_article_elements_are_no_article():
+    body = f"<article>{paragraphs(LONG)}</article><div id='comments'><ol class='comment-list'><li><article class='comment-body'>{paragraphs(LONG * 5)}</article></li></ol></div>"
+    assert html_extract.main_text(PAGE.replace("{body}", body)) == " ".join(LONG)
