@@ -6,8 +6,10 @@ earlier probabilities are out of fold, so later models learn from predictions as
 they will get. Terms are chosen by how far their presence departs from independence of the last label.
 
 The labels' table marks toxicity as a whole, the chain's last category. Earlier ones are weak labels:
-a toxic document that has one of the category's seed words. With other label columns, pass them
-in the order of the chain.
+a toxic document that has one of the category's terms. Those are found in the labelled rows, whatever
+their language: the chosen terms that toxic rows have more often, strongest first, each given to the
+category that covers fewer toxic rows so far. No word is fixed here. With other label columns, pass
+them in the order of the chain.
 
 The fit uses at most max_train labelled rows (the first by a hash of the id, equal texts once);
 the driver gets the presence of at most max_terms terms for them. Scoring covers whole texts. Defined
@@ -29,11 +31,8 @@ from factloom.llm.common import cut, drop_cut, map_rows, pick
 
 WORD = re.compile(r"[^\W\d_]+")
 
-#: Seed words of the weak categories, fixed values.
-SEEDS = {
-    "insult": ("idiot", "moron", "loser", "clown", "scum"),
-    "contempt": ("trash", "pathetic", "worthless", "disgusting", "stupid"),
-}
+#: The weak categories that come before the labelled one.
+WEAK = ("weak_1", "weak_2")
 
 
 @dataclass(frozen=True)
@@ -108,6 +107,16 @@ def fit_chain(x: np.ndarray, labels: np.ndarray, folds: np.ndarray, p: ToxicityP
     return models
 
 
+def weak_labels(x: np.ndarray, label: np.ndarray, leading: list[int]) -> np.ndarray:
+    """A column for each weak category. leading: columns of x that toxic rows have more often, strongest first."""
+    toxic = label > 0
+    y = np.zeros((len(label), len(WEAK)))
+    for column in leading:
+        k = int(np.argmin(y.sum(axis=0)))
+        y[:, k] = np.maximum(y[:, k], toxic & (x[:, column] > 0))
+    return y
+
+
 def train(docs: DataFrame, labels: DataFrame, p: ToxicityParams) -> Chain:
     """docs: id, text. labels: id, label."""
     some = labels.where("id is not null and label is not null").groupBy("id").agg(F.max("label").cast("int").alias("label"))
@@ -126,16 +135,17 @@ def train(docs: DataFrame, labels: DataFrame, p: ToxicityParams) -> Chain:
     share = ones / max(n, 1)
     expected = F.col("n") * F.lit(share)
     strength = F.abs(F.col("k") - expected) / F.sqrt(expected * F.lit(1 - share) + F.lit(0.25))
-    chosen = [r["term"] for r in by_term.where(strength >= p.strength).orderBy(strength.desc(), "term").limit(p.max_terms).collect()]
-    chosen += [t for seeds in SEEDS.values() for t in seeds if t not in chosen]
+    found = by_term.where(strength >= p.strength).orderBy(strength.desc(), "term").limit(p.max_terms).select("term", (F.col("k") > expected).alias("more")).collect()
+    chosen = [r["term"] for r in found]
     vocabulary = {t: i for i, t in enumerate(chosen)}
-    kept = sample.select("key", "label", F.array_intersect("terms", F.array(*map(F.lit, chosen))).alias("terms")).collect()
+    kept = sample.select("key", "label", F.array_intersect("terms", F.array(*map(F.lit, chosen)).cast("array<string>")).alias("terms")).collect()
     drop_cut(sample)
     kept.sort(key=lambda r: r["key"])
-    x, y = np.zeros((len(kept), len(vocabulary))), np.zeros((len(kept), len(SEEDS) + 1))
+    x = np.zeros((len(kept), len(vocabulary)))
     for i, r in enumerate(kept):
         x[i, [vocabulary[t] for t in r["terms"]]] = 1
-        y[i] = [*(r["label"] and not set(seeds).isdisjoint(r["terms"]) for seeds in SEEDS.values()), r["label"]]
+    label = np.array([r["label"] for r in kept], float)
+    y = np.c_[weak_labels(x, label, [i for i, r in enumerate(found) if r["more"]]), label]
     folds = np.array([r["key"] % p.folds for r in kept], np.int64)
     return Chain(vocabulary, fit_chain(x, y, folds, p))
 
@@ -145,7 +155,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams =
     p = params
     rows = pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
     chain = train(rows, pick(labels, id=id_col, label=label_col).withColumn("id", F.col("id").cast("long")), p)
-    names = [*SEEDS, "score"]
+    names = [*WEAK, "score"]
     schema = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in names]])
 
     def run(slices):
@@ -153,4 +163,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams =
             yield [(r["id"], *found) for r, found in zip(rows_, chain.predict([r["text"] for r in rows_]).tolist(), strict=True)]
 
     out = map_rows(rows, run, schema)
-    return out.select("doc_id", "score", (F.col("score") >= p.threshold).cast("int").alias("predicted"), *SEEDS)
+    return out.select("doc_id", "score", (F.col("score") >= p.threshold).cast("int").alias("predicted"), *WEAK)

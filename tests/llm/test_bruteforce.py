@@ -349,3 +349,22 @@ def test_html_heading_named_after_its_words():
 def test_html_comments_in_article_elements_are_no_article():
     body = f"<article>{paragraphs(LONG)}</article><div id='comments'><ol class='comment-list'><li><article class='comment-body'>{paragraphs(LONG * 5)}</article></li></ol></div>"
     assert html_extract.main_text(PAGE.replace("{body}", body)) == " ".join(LONG)
+
+
+def test_toxicity_in_words_that_no_list_holds(spark):
+    rng = np.random.default_rng(5)
+    plain, rude = [f"слово{chr(0x430 + i)}" for i in range(30)], ["дурак", "болван", "осёл", "гнусный", "ничтожный", "мерзкий"]
+    rows = []
+    for i in range(1200):
+        toxic = int(rng.random() < 0.25)
+        rows.append((i, " ".join([*rng.choice(plain, 12), *(rng.choice(rude, 2, replace=False) if toxic else []), f"n{i}"]), toxic))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = {r.doc_id: r for r in toxicity.score_toxicity(df.select("doc_id", "text"), df.where("doc_id % 3 <> 0").select("doc_id", "toxic")).collect()}
+    held = [(got[i], toxic) for i, _, toxic in rows if i % 3 == 0]
+    assert sum(r.predicted == toxic for r, toxic in held) >= 0.98 * len(held)
+    for column in range(3, 5):
+        on, off = (np.array([r[column] for r, toxic in held if toxic == t]) for t in (1, 0))
+        # earlier categories are learned, not constants: apart from clean rows, and unlike among toxic ones
+        assert off.max() < 0.5 < on.max() and on.mean() > off.mean() + 0.3
+    chain = toxicity.train(df.selectExpr("doc_id as id", "text"), df.selectExpr("doc_id as id", "toxic as label"), toxicity.ToxicityParams())
+    assert set(rude) <= set(chain.vocabulary) <= set(rude) | set(w for w in plain)
