@@ -51,10 +51,25 @@ def encoder(path: str):
     return tiktoken.Encoding("byte_bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
+@functools.cache
+def whole(path: str):
+    """The tokenizers file itself, for texts that contain one of its added tokens."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+@functools.cache
+def added_tokens(path: str) -> tuple[str, ...]:
+    return tuple(t["content"] for t in json.load(open(path, encoding="utf-8"))["added_tokens"])
+
+
 class WordIds(dict):
     """Little-endian 32-bit ids of words with a leading space; starts anew when it has grown."""
 
     def __init__(self, path: str):
+        self.path = path
+        self.added = added_tokens(path)
         self.encode = encoder(path).encode_ordinary
 
     def __missing__(self, word: str) -> bytes:
@@ -65,6 +80,8 @@ class WordIds(dict):
 
     def ids(self, text: str) -> bytes:
         """The ids of the whole text. A single space between words is always a boundary."""
+        if any(t in text for t in self.added):
+            return np.array(whole(self.path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if RUN.search(text):
             return np.array(self.encode(text), "<u4").tobytes()
         first, *rest = text.split(" ")

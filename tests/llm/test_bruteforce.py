@@ -368,3 +368,21 @@ def test_toxicity_in_words_that_no_list_holds(spark):
         assert off.max() < 0.5 < on.max() and on.mean() > off.mean() + 0.3
     chain = toxicity.train(df.selectExpr("doc_id as id", "text"), df.selectExpr("doc_id as id", "toxic as label"), toxicity.ToxicityParams())
     assert set(rude) <= set(chain.vocabulary) <= set(rude) | set(w for w in plain)
+
+
+def test_packing_of_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    mark = "<|endoftext|>"
+    assert tok.encode(f"end {mark} next", add_special_tokens=False).ids == [437, 220, 50256, 1306]
+    rows = list(enumerate([f"end {mark} next", mark, mark * 3, f"a{mark}b  c {mark}\n\n  d", f"{mark} x", f"x {mark}", "<|endoftext|", f"{mark[:-1]}{mark}", f"word {mark} " * 700]))
+    by_doc = collections.defaultdict(list)
+    for r in packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer_path()).collect():
+        by_doc[r.doc_id].append(r)
+    for i, text in rows:
+        ids, at = tok.encode(text, add_special_tokens=False).ids + [2], 0
+        for r in sorted(by_doc[i], key=lambda r: r.piece):
+            assert r.start == at and r.ids_crc32 == binascii.crc32(np.array(ids[at : at + r.length], "<u4").tobytes())
+            at += r.length
+        assert at == len(ids)
