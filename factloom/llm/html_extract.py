@@ -3,8 +3,8 @@
 A tolerant parser builds the element tree. Paragraphs (and other elements with text of their own)
 earn points for length and commas and pass them to their ancestors, halved at the grandparent and
 thinned further up; a container's points are discounted by its link density. The best container
-(widened to the article or main element that holds it) and those siblings that score near it,
-or read like text, are kept. Boilerplate is left out at any depth: menus, headers, footers, sidebars, notices,
+(widened to the article or main element that holds it) and, beside it and beside each element
+that holds it, what scores near it or reads like text are kept. Boilerplate is left out at any depth: menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts, styles. Where only a class or id tells it, the element's text has a say too.
 
 Text: character references decoded, white space inside a block as one space, trimmed, blocks joined in
@@ -226,7 +226,7 @@ def stays(x: Node, inside: bool, total: int, rest: int) -> bool:
         return all(key == "id" and said.issuperset(parts) for key, parts in x.names if MARKS.intersection(parts))
     mine = prose(x)
     if x.mark == "sure":
-        return mine > 20 * rest
+        return mine > 20 * rest and 2 * mine > total
     if x.name not in BLOCK:
         return x.mark == "loose" and x.name != "a" and not any(not isinstance(k, str) and k.name == "a" for k in x.kids)
     if 2 * mine >= total > 0 or x.good and mine:
@@ -285,6 +285,36 @@ def text_of(nodes: list[Node | str]) -> str:
     return " ".join(" ".join(out).split())
 
 
+#: Blocks whose own kind says that they are text, however short.
+TEXTUAL = HEADINGS | frozenset("p pre blockquote ul ol dl table figure".split())
+
+
+def beside(kids: list[Node | str], best: Node) -> list[Node | str]:
+    """What belongs to the text among the nodes beside the best container or one that holds it."""
+    kept, run = [], []
+    for k in [*kids, None]:
+        if k is not None and (isinstance(k, str) or k.name not in BLOCK):
+            run.append(k)
+            continue
+        length = sum(len(r) if isinstance(r, str) and not r.isspace() else r.length for r in run if not isinstance(r, str) or not r.isspace())
+        links = sum(r.links for r in run if not isinstance(r, str))
+        if length > 80 and links < 0.25 * length:
+            kept += run
+        run = []
+        if k is not None and not k.bad and k.length and (k.score >= max(10, 0.2 * best.score) or reads(k)):
+            kept.append(k)
+    return kept
+
+
+def reads(x: Node) -> bool:
+    """Whether a block reads like text: few links, and long, or a textual element or one that holds such."""
+    if x.links >= 0.25 * x.length:
+        return False
+    if x.length > 80 or x.name in HEADINGS:
+        return True
+    return not x.links and any(k.name in TEXTUAL and k.length for k in walk(x))
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
@@ -303,16 +333,11 @@ def main_text(page: str | None) -> str:
         return text_of([x])
     if best.name in ("body", "#root", "html") or best.parent is None:
         return text_of([best])
-    kept = []
-    for s in best.parent.kids:
-        if s is best:
-            kept.append(s)
-        elif not isinstance(s, str) and not s.bad and s.length:
-            dense = s.links / s.length
-            reads = s.name in ("p", "pre", "blockquote", "ul", "ol", "table") and (s.length > 80 and dense < 0.25 or s.length <= 80 and not s.links and s.name == "p")
-            title = s.name in ("h1", "h2", "h3") and dense < 0.25
-            if s.score >= max(10, 0.2 * best.score) or reads or title:
-                kept.append(s)
+    kept, x = [best], best
+    while x.parent is not None and x.name not in ("body", "html"):
+        at = x.parent.kids.index(x)
+        kept = beside(x.parent.kids[:at], best) + kept + beside(x.parent.kids[at + 1 :], best)
+        x = x.parent
     return text_of(kept)
 
 

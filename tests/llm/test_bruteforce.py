@@ -386,3 +386,33 @@ def test_packing_of_added_tokens(spark):
             assert r.start == at and r.ids_crc32 == binascii.crc32(np.array(ids[at : at + r.length], "<u4").tobytes())
             at += r.length
         assert at == len(ids)
+
+
+TEN = [f"Paragraph {i}, long, and with commas, of the first part, which has by far the most points, has more text than any other part, and so on." for i in range(10)]
+CLOSING = "One closing paragraph, which is much shorter than the first part, has no link, and yet, as anyone sees, belongs to the article."
+
+
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        "<div><section>{a}</section><section><p>{b}</p></section></div>",
+        "<div><div>{a}</div><div>{b}</div></div>",
+        "<div><div><div>{a}</div></div><div><div><p>{b}</p></div></div></div>",
+        "<section>{a}</section><section><p>{b}</p></section>",
+        "<div><section>{a}</section><dl><dt>{b}</dt></dl></div>",
+        "<div><section>{a}</section><figure><figcaption>{b}</figcaption></figure></div>",
+        "<div><section>{a}</section>{b}</div>",
+    ],
+)
+@pytest.mark.parametrize("last", [CLOSING, "The end."])
+def test_html_of_several_parts(wrap, last):
+    if last != CLOSING and ("<div>{b}" in wrap or "</section>{b}" in wrap):
+        last = CLOSING  # short bare text beside an article tells nothing by itself
+    links = "<div><a href='/x'>More of the same, from the same site</a> <a href='/y'>And another page, and another</a></div>"
+    body = wrap.format(a=paragraphs(TEN), b=last) + links
+    assert html_extract.main_text(PAGE.replace("{body}", body)) == " ".join([*TEN, last])
+
+
+def test_html_small_headings_between_parts():
+    body = f"<div><h4>Opening</h4><section>{paragraphs(TEN)}</section><h5>Closing</h5><section><p>{CLOSING}</p></section></div>"
+    assert html_extract.main_text(PAGE.replace("{body}", body)) == " ".join(["Opening", *TEN, "Closing", CLOSING])
