@@ -41,14 +41,14 @@ class NearDupParams:
     """words: shingle length; percent: least 100 * likeness; bands * rows coordinates in a sketch.
 
     slack: a pair whose share of equal sketch coordinates is below percent/100 - slack isn't
-    verified (3.3 standard deviations at 252 coordinates and a likeness of 0.85).
+    verified (5.2 standard deviations at 252 coordinates and a likeness of 0.8).
     """
 
     words: int = 5
     percent: int = 80
     bands: int = 42
     rows: int = 6
-    slack: float = 0.075
+    slack: float = 0.13
     block: int = 2048
 
     @property

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from factloom.llm import fingerprints, html_extract, media, mixing, neardup, packing, quality, secrets, toxicity, warc
 from factloom.llm.common import table
 
-#: The parameters that the queries and the pipeline use.
-NEAR = neardup.NearDupParams(words=3, percent=85, bands=36, rows=7)
+#: The parameters that the queries and the pipeline use; the slack is 5.1 standard deviations at the threshold.
+NEAR = neardup.NearDupParams(words=3, percent=85, bands=36, rows=7, slack=0.115)
 
 
 def tokenizer_path() -> str:

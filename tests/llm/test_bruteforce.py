@@ -416,3 +416,18 @@ def test_html_of_several_parts(wrap, last):
 def test_html_small_headings_between_parts():
     body = f"<div><h4>Opening</h4><section>{paragraphs(TEN)}</section><h5>Closing</h5><section><p>{CLOSING}</p></section></div>"
     assert html_extract.main_text(PAGE.replace("{body}", body)) == " ".join(["Opening", *TEN, "Closing", CLOSING])
+
+
+@pytest.mark.parametrize("params", [NEAR, neardup.NearDupParams()])
+def test_sketches_rule_out_next_to_no_pair_at_the_threshold(spark, params):
+    import math
+
+    t, least = params.t, math.ceil((params.percent / 100 - params.slack) * params.t)
+    same = params.percent / 100 + (1 - params.percent / 100) / 256
+    assert sum(math.comb(t, k) * same**k * (1 - same) ** (t - k) for k in range(least)) < 2e-6
+    # 4.5 standard deviations below the threshold: still a pair to be verified
+    agree = math.ceil(t * (same - 4.5 * math.sqrt(same * (1 - same) / t)))
+    a, b = bytes(t), bytes(agree) + b"\1" * (t - agree)
+    rows = [(7, bytes([i]), bytes([i]), 100, bytearray(sk), [7]) for i, sk in ((1, a), (2, b))]
+    df = spark.createDataFrame(rows, "key long, cid binary, comp binary, n long, sk binary, keys array<long>")
+    assert neardup._block_pairs(df, params, None).count() == 1
