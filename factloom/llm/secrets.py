@@ -4,8 +4,8 @@ Base kinds (assign, access, hex) are found by fixed patterns in whole texts. The
 every candidate value (the values of base matches and further long tokens), hashes it and counts in
 how many distinct repositories and with how many distinct owners it occurs in the whole corpus:
 a value that many owners publish is a copied example, a value that few owners hold and that looks
-random is a live credential. Live values add spans wherever they occur outside base spans (kind
-"live"); base spans always stay, with their class beside them.
+random is a live credential. Live values add spans wherever they occur and base spans do not cover
+them (kind "live"); base spans always stay, with their class beside them.
 
 Counting is over distinct (hash, repository, owner), combined before the shuffle, so one value that
 a third of all rows repeat is a few rows per task. Defined cases: null or empty text: no spans; null owner
@@ -69,14 +69,30 @@ def looks_random(value: str, bits: float) -> bool:
     return -sum(k / n * math.log2(k / n) for k in Counter(value).values()) >= bits
 
 
+def covered(start: int, end: int, taken: list[tuple[int, int]]) -> bool:
+    """Whether the spans, sorted by start, leave no character of the range free."""
+    for a, b in taken:
+        if a > start:
+            break
+        start = max(start, b)
+    return start >= end
+
+
 def spans_of(text: str | None, bits: float) -> tuple[list[tuple], list[tuple]]:
-    """Base spans and further candidates outside them, each (kind, start, end, vstart, hash)."""
+    """Base spans and further candidates, each (kind, start, end, vstart, hash).
+
+    A candidate that overlaps base spans counts unless they cover it: it holds characters that no base span has.
+    """
     text = text or ""
     base = base_spans(text)
     taken, extra = [(s[1], s[2]) for s in base], []
+    names = [s[1] for s in base if s[0] == "assign"]
     for m in TOKEN.finditer(text):
-        if looks_random(m[0], bits) and not any(a < m.end() and m.start() < b for a, b in taken):
-            extra.append(("live", m.start(), m.end(), m.start(), signed(m[0])))
+        # an assignment inside goes on to the token's end; what stands before it is judged alone
+        start, end = m.start(), min((a for a in names if m.start() < a < m.end()), default=m.end())
+        value = text[start:end]
+        if len(value) >= 20 and looks_random(value, bits) and not covered(start, end, taken):
+            extra.append(("live", start, end, start, signed(value)))
     return [(*s[:4], signed(s[4])) for s in base], extra
 
 
@@ -164,10 +180,11 @@ def redact(docs: DataFrame, params: SecretParams = SecretParams(), mark: str = "
 
 
 def redacted(text: str, live: set[int], bits: float, mark: str) -> str:
+    """The text with a mark for each run of live values that overlap: their union goes."""
     base, extra = spans_of(text, bits)
     out, at = [], 0
-    for _, _, end, start, h in sorted(base + extra, key=lambda s: (s[3], -s[2])):
-        if h in live and end > at:
-            out += [text[at : max(at, start)], mark if start >= at else ""]
-            at = end
+    for start, end in sorted((s[3], s[2]) for s in base + extra if s[4] in live):
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
     return "".join(out) + text[at:]

@@ -431,3 +431,18 @@ def test_sketches_rule_out_next_to_no_pair_at_the_threshold(spark, params):
     rows = [(7, bytes([i]), bytes([i]), 100, bytearray(sk), [7]) for i, sk in ((1, a), (2, b))]
     df = spark.createDataFrame(rows, "key long, cid binary, comp binary, n long, sk binary, keys array<long>")
     assert neardup._block_pairs(df, params, None).count() == 1
+
+
+def test_live_tokens_around_base_spans(spark):
+    run = "9f86d081884c7d659a2feaa0c55ad015"
+    values = [f"sk-live-{run}-Zq7Lm2", f"xoxb-{run[:24]}-AbcDe9", f"{run}{run[:8]}Kq"]
+    rows = [(i, f"use {v} here", f"owner{i}", "en") for i, v in enumerate(values)] + [(9, f"token = {values[0]} end", "owner0", "en"), (10, f"my_token={values[0]} end", "owner1", "en"), (11, "/Zx81kQp02mLw93Rt55Yv/token=abcdef1 end", "owner2", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r.doc_id: {(s["kind"], s["start"], s["end"], s["class"]) for s in r.spans} for r in secrets.scan_secrets(df).collect()}
+    for i, v in enumerate(values):
+        hexes = re.search("[0-9a-f]{24,}", v)
+        assert got[i] == {("hex", 4 + hexes.start(), 4 + hexes.end(), "live"), ("live", 4, 4 + len(v), "live")}
+    assert not any(k == "live" for k, *_ in got[9] | got[10]) and ("live", 0, 22, "live") in got[11]
+    kept = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert [kept[i] for i in range(3)] == ["use [secret] here"] * 3 and kept[9] == "token = [secret] end"
+    assert kept[10] == "my_token=[secret] end" and kept[11] == "[secret]token=[secret] end"
