@@ -8,8 +8,8 @@ equal subset hashes among the subsets where either has a term, over the subset s
 longer of the two.
 
 Size of the lexicon: a term of the band is in at least N / e^idf_high documents, so there are at most
-(mean distinct terms) * e^idf_high of them whatever N is. That is checked: if more than max_lexicon
-pass, idf_high is lowered to where they fit, for all documents alike.
+(mean distinct terms) * e^idf_high of them whatever N is, at 8 bytes a term. All of them are used: the
+band never depends on their number. Beyond spark.driver.maxResultSize the query fails with Spark's error.
 
 Neighbours come from one range shuffle by id; each task sees its rows in order, and the last
 row of a task meets the first row of the next in a join of one row a task. Defined cases: null or empty
@@ -45,7 +45,6 @@ class FingerprintParams:
     idf_high: float = 7.5
     scales: tuple[float, ...] = (1 / 8, 1 / 32, 1 / 128, 1 / 512)
     subsets: int = 32
-    max_lexicon: int = 2_000_000
     seed: int = 3
 
 
@@ -88,15 +87,7 @@ def lexicon(docs: DataFrame, p: FingerprintParams) -> np.ndarray:
     n = docs.count()
     idf = F.log(F.lit(float(max(n, 1))) / F.col("df"))
     band = cut(document_frequency(docs).withColumn("idf", idf).where((F.col("idf") >= p.idf_low) & (F.col("idf") <= p.idf_high)), "imatch-band")
-    steps = band.groupBy(F.floor(F.col("idf") * 16).alias("step")).agg(F.count("*").alias("n")).orderBy("step").collect()
-    most, total = p.idf_high, 0
-    for r in steps:
-        total += r["n"]
-        if total > p.max_lexicon:
-            most = r["step"] / 16
-            break
-    kept = band.where(F.col("idf") < most) if most < p.idf_high else band
-    out = np.sort(np.array(kept.select("term").toPandas()["term"], np.int64).view(np.uint64))
+    out = np.sort(np.array(band.select("term").toPandas()["term"], np.int64).view(np.uint64))
     drop_cut(band)
     return out
 

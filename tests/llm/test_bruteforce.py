@@ -446,3 +446,14 @@ def test_live_tokens_around_base_spans(spark):
     kept = {r.doc_id: r.text for r in secrets.redact(df).collect()}
     assert [kept[i] for i in range(3)] == ["use [secret] here"] * 3 and kept[9] == "token = [secret] end"
     assert kept[10] == "my_token=[secret] end" and kept[11] == "[secret]token=[secret] end"
+
+
+def test_lexicon_is_the_whole_band_whatever_its_size(spark):
+    texts = [" ".join(f"w{j}" for j in range(i % 60 + 1)) for i in range(300)]
+    p = fingerprints.FingerprintParams()
+    object.__setattr__(p, "max_lexicon", 10)  # an earlier bound that lowered the band's end
+    df = collections.Counter(t for x in texts for t in fingerprints.terms(x, neardup.WordHashes()).tolist())
+    want = sorted(t for t, c in df.items() if p.idf_low <= np.log(len(texts) / c) <= p.idf_high)
+    assert len(want) > 10
+    got = fingerprints.lexicon(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), p)
+    assert got.tolist() == want
