@@ -8,33 +8,37 @@ equal subset hashes among the subsets where either has a term, over the subset s
 longer of the two.
 
 Size of the lexicon: a term of the band is in at least N / e^idf_high documents, so there are at most
-(mean distinct terms) * e^idf_high of them whatever N is, at 8 bytes a term. All of them are used: the
-band never depends on their number. Beyond spark.driver.maxResultSize the query fails with Spark's error.
-
-Neighbours come from one range shuffle by id; each task sees its rows in order, and the last
-row of a task meets the first row of the next in a join of one row a task. Defined cases: null or empty
-text: no terms, the empty fingerprint; no term in the band: all terms of the text count; equal ids: in order
-of their texts' hashes; repeated rows: each has a neighbour; extra columns are ignored.
+(mean distinct terms) * e^idf_high of them whatever N is, at about 20 bytes a term with their subsets. All
+of them are used: the band never depends on their number. Beyond spark.driver.maxResultSize the query
+fails with Spark's error.
+
+Neighbours in order of ids: a narrow pass over ids alone finds where each of as many ranges as there are shuffle
+partitions begins (one row a range reaches the driver). Then each text, compressed, goes once to the task
+of its range; the first row of a range goes also to the end of the range before, so every task
+sees the followers of all its rows and no result is written twice. A task streams its rows and holds two of them.
+
+Defined cases: null or empty text: no terms; no term in the band: the empty fingerprint (all zeros), which equals
+itself only: its likeness is 1 to another empty one and 0 to any other; equal ids: in order of their texts'
+hashes; null ids come first; repeated rows: each has a neighbour; one row: it is its own neighbour; empty
+table: no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from dataclasses import dataclass
 
 import numpy as np
-import xxhash
-from pyspark import TaskContext
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 from factloom.llm.common import cut, drop_cut, map_rows, pick
 from factloom.llm.neardup import GOLD, WordHashes, mix64
 
-EMPTY = b"\0\0\0\0"
+#: Term hashes that a task gathers before it counts them.
+HELD = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -58,28 +62,30 @@ def document_frequency(docs: DataFrame) -> DataFrame:
     """term, df over all documents; combined in each task before the shuffle."""
     schema = T.StructType([T.StructField("term", T.LongType()), T.StructField("n", T.LongType())])
 
-    def run(slices):
+    def run(batches):
         cache = WordHashes()
-        held: list[np.ndarray] = []
-        size = 0
-
-        def flush():
-            found, n = np.unique(np.concatenate(held), return_counts=True)
-            return list(zip(found.view(np.int64).tolist(), n.tolist(), strict=True))
-
-        for rows in slices:
-            for r in rows:
-                t = terms(r["text"], cache)
-                if len(t):
-                    held.append(t)
-                    size += len(t)
-            if size > 1_000_000:
-                yield flush()
-                held, size = [], 0
-        if held:
-            yield flush()
-
-    return map_rows(docs.select("text"), run, schema).groupBy("term").agg(F.sum("n").alias("df"))
+        found, n, held, size = np.empty(0, np.uint64), np.empty(0, np.int64), [], 0
+
+        def merged():
+            each, where = np.unique(np.concatenate([found, *held]), return_inverse=True)
+            return each, np.bincount(where, np.r_[n, np.ones(size)], len(each)).astype(np.int64)
+
+        for batch in batches:
+            for text in batch.column(0):
+                t = terms(text.as_py(), cache)
+                held.append(t)
+                size += len(t)
+                if size >= HELD:
+                    found, n = merged()
+                    held, size = [], 0
+                    if len(found) >= HELD:
+                        yield pa.record_batch([found.view(np.int64), n], ["term", "n"])
+                        found, n = found[:0], n[:0]
+        found, n = merged()
+        if len(found):
+            yield pa.record_batch([found.view(np.int64), n], ["term", "n"])
+
+    return docs.select("text").mapInArrow(run, schema).groupBy("term").agg(F.sum("n").alias("df"))
 
 
 def lexicon(docs: DataFrame, p: FingerprintParams) -> np.ndarray:
@@ -93,43 +99,54 @@ def lexicon(docs: DataFrame, p: FingerprintParams) -> np.ndarray:
 
 
 class Fingerprinter:
+    """The lexicon and, for each of its terms, the subsets that hold it (a random draw by the term's hash)."""
+
     def __init__(self, lex: np.ndarray, p: FingerprintParams):
         self.lex, self.p = lex, p
-        k = p.subsets * len(p.scales)
-        self.seeds = mix64((np.arange(1, k + 1, dtype=np.uint64) + np.uint64(p.seed * 1000)) * GOLD)
-        self.limits = np.repeat([np.uint64(int(s * 2.0**64) - 1) for s in p.scales], p.subsets)
-
-    def kept(self, found: np.ndarray) -> np.ndarray:
-        if not len(self.lex):
-            return found
-        at = np.minimum(np.searchsorted(self.lex, found), len(self.lex) - 1)
-        inside = found[self.lex[at] == found]
-        return inside if len(inside) else found
+        self.k = p.subsets * len(p.scales)
+        seeds = mix64((np.arange(1, self.k + 1, dtype=np.uint64) + np.uint64(p.seed * 1000)) * GOLD)
+        limits = np.repeat([np.uint64(int(s * 2.0**64) - 1) for s in p.scales], p.subsets)
+        subsets, sizes = [np.empty(0, np.uint8)], [np.zeros(1, np.int64)]
+        for at in range(0, len(lex), 65_536):
+            member = mix64(lex[at : at + 65_536, None] ^ seeds[None, :]) <= limits[None, :]
+            subsets.append(np.nonzero(member)[1].astype(np.uint8))
+            sizes.append(member.sum(1))
+        self.subset, self.start = np.concatenate(subsets), np.cumsum(np.concatenate(sizes))
 
     def of(self, found: np.ndarray) -> bytes:
-        """4 bytes for each subset; zeros where the document has no term of it."""
-        kept = self.kept(found)
-        if not len(kept):
-            return EMPTY * len(self.seeds)
-        member = mix64(kept[None, :] ^ self.seeds[:, None]) <= self.limits[:, None]
-        rows, cols = np.nonzero(member)
-        ends = np.searchsorted(rows, np.arange(len(self.seeds) + 1))
-        out = []
-        for a, b in zip(ends[:-1], ends[1:], strict=True):
-            out.append(EMPTY if a == b else (xxhash.xxh32_intdigest(kept[cols[a:b]].tobytes()) or 1).to_bytes(4, "big"))
-        return b"".join(out)
+        """4 bytes for each subset, the hash of its kept terms in order; zeros where the document has none of it."""
+        out = np.zeros(self.k, "<u4")
+        if not len(self.lex) or not len(found):
+            return out.tobytes()
+        at = np.minimum(np.searchsorted(self.lex, found), len(self.lex) - 1)
+        at = at[self.lex[at] == found]
+        first, sizes = self.start[at], self.start[at + 1] - self.start[at]
+        total = int(sizes.sum())
+        if not total:
+            return out.tobytes()
+        term = np.repeat(self.lex[at], sizes)
+        subset = self.subset[np.arange(total) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)]
+        order = np.argsort(subset, kind="stable")
+        subset, term = subset[order], term[order]
+        each = np.flatnonzero(np.r_[True, subset[1:] != subset[:-1]])
+        place = np.arange(total) - np.repeat(each, np.diff(np.r_[each, total]))
+        mixed = mix64(term + place.astype(np.uint64) * GOLD)
+        hashes = (mix64(np.add.reduceat(mixed, each)) >> np.uint64(32)).astype(np.uint32)
+        out[subset[each]] = np.maximum(hashes, 1)
+        return out.tobytes()
 
     def likeness(self, a: bytes, b: bytes) -> float:
         """Over the scale whose subsets hold about one term of the two documents together."""
-        x = np.frombuffer(a, ">u4").reshape(len(self.p.scales), -1)
-        y = np.frombuffer(b, ">u4").reshape(len(self.p.scales), -1)
+        x = np.frombuffer(a, "<u4").reshape(len(self.p.scales), -1)
+        y = np.frombuffer(b, "<u4").reshape(len(self.p.scales), -1)
         used = (x != 0) | (y != 0)
-        if not used.any():
+        share = used.sum(1)
+        if not share.any():
             return 1.0
         # the finest scale that at least a quarter of the subsets use, else the coarsest
-        fine = [i for i in range(len(used)) if 4 * used[i].sum() >= used.shape[1]]
-        i = fine[-1] if fine else int(used.sum(1).argmax())
-        return float(((x[i] == y[i]) & used[i]).sum() / used[i].sum())
+        fine = np.flatnonzero(4 * share >= used.shape[1])
+        i = int(fine[-1]) if len(fine) else int(share.argmax())
+        return float(((x[i] == y[i]) & used[i]).sum() / share[i])
 
 
 OUT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_chars", T.LongType()), T.StructField("edited_sha256", T.StringType()), T.StructField("fingerprint", T.StringType()), T.StructField("edited_fingerprint", T.StringType()), T.StructField("near_edited", T.DoubleType()), T.StructField("near_next", T.DoubleType())])
@@ -140,50 +157,64 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
+def ranges(rows: DataFrame, many: int) -> np.ndarray:
+    """The first (order, th) of each of at most `many` ranges of about as many rows; sorted, distinct."""
+    ordered = rows.select("order", "th").repartitionByRange(many, "order", "th")
+    firsts = ordered.groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct("order", "th")).alias("first"))
+    return np.array(sorted({(r["first"]["order"], r["first"]["th"]) for r in firsts.collect()}), np.dtype([("order", np.int64), ("th", np.int64)]))
+
+
+def in_ranges(rows: DataFrame, bounds: np.ndarray) -> DataFrame:
+    """Each row at its range, and each range's first row also at the end (tail) of the range before."""
+    schema = T.StructType([T.StructField("range", T.IntegerType()), T.StructField("tail", T.BooleanType()), T.StructField("order", T.LongType()), T.StructField("th", T.LongType()), T.StructField("id", T.LongType()), T.StructField("z", T.BinaryType()), T.StructField("size", T.IntegerType())])
+
+    def run(batches):
+        codec = pa.Codec("zstd", 1)
+        for batch in batches:
+            keys = np.empty(batch.num_rows, bounds.dtype)
+            keys["order"], keys["th"] = batch.column("order").to_numpy(), batch.column("th").to_numpy()
+            at = np.searchsorted(bounds, keys, side="right") - 1
+            again = np.flatnonzero(bounds[at] == keys)
+            texts = [t.as_buffer() if t.is_valid else pa.py_buffer(b"") for t in batch.column("text")]
+            z = pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary())
+            size = pa.array([t.size for t in texts], pa.int32())
+            each = np.r_[np.arange(batch.num_rows), again]
+            take = pa.array(each)
+            where = np.r_[at, (at[again] - 1) % len(bounds)].astype(np.int32)
+            tail = np.arange(len(each)) >= batch.num_rows
+            columns = [batch.column("order").take(take), batch.column("th").take(take), batch.column("id").take(take), z.take(take), size.take(take)]
+            yield pa.record_batch([pa.array(where), pa.array(tail), *columns], schema.fieldNames())
+
+    return rows.select("order", "th", "id", "text").mapInArrow(run, schema)
+
+
 def fingerprint_neighbours(docs: DataFrame, params: FingerprintParams = FingerprintParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per input row: OUT's columns, for the text and its edit with the next document's beginning."""
     p = params
     rows = pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
+    rows = rows.withColumn("order", F.coalesce("id", F.lit(-(2**63)))).withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
+    many = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = ranges(rows, many)
+    if not len(bounds):
+        return docs.sparkSession.createDataFrame([], OUT)
     printer = Fingerprinter(lexicon(rows, p), p)
 
-    def judge(maker, cache, a, b):
-        """a, b: (id, text, fingerprint) of a row and its follower."""
-        text = edited(a[1], b[1])
-        other = maker.of(terms(text, cache))
-        return (a[0], len(a[1]), hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest(), a[2].hex(), other.hex(), maker.likeness(a[2], other), maker.likeness(a[2], b[2]))
-
-    ends = [T.StructField("part", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("text", T.StringType())]
-    schema = T.StructType([*OUT.fields, *ends])
-
     def run(slices):
-        cache, part, before = WordHashes(), TaskContext.get().partitionId(), None
+        cache, codec, before, ended = WordHashes(), pa.Codec("zstd"), None, False
         for rows_ in slices:
             out = []
             for r in rows_:
-                text = r["text"] or ""
-                row = (r["id"], text, printer.of(terms(text, cache)))
-                if before is None:
-                    out.append((row[0], None, None, row[2].hex(), None, None, None, part, "first", text))
-                else:
-                    out.append((*judge(printer, cache, before, row), part, "done", None))
-                before = row
+                if ended:
+                    break  # further tails repeat the first
+                text = codec.decompress(r["z"], r["size"], asbytes=True).decode("utf-8", "surrogatepass") if r["size"] else ""
+                mine = printer.of(terms(text, cache))
+                if before is not None:
+                    number, old, print_ = before
+                    new = edited(old, text)
+                    other = printer.of(terms(new, cache))
+                    out.append((number, len(old), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), print_.hex(), other.hex(), printer.likeness(print_, other), printer.likeness(print_, mine)))
+                before, ended = (r["id"], text, mine), r["tail"]
             yield out
-        if before is not None:
-            yield [(before[0], None, None, before[2].hex(), None, None, None, part, "last", before[1])]
-
-    many = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.withColumn("th", F.xxhash64(F.coalesce("text", F.lit("")))).repartitionByRange(many, "id", "th").sortWithinPartitions("id", "th").select("id", "text")
-    mapped = cut(map_rows(ordered, run, schema), "imatch-rows")
-    # one row a task on either side
-    order = W.orderBy("part")
-    firsts = mapped.where("kind = 'first'").select(F.col("part").alias("next"), F.col("fingerprint").alias("next_print"), F.col("text").alias("next_text"))
-    heads = mapped.where("kind = 'first'").select("part").withColumn("next", F.coalesce(F.lead("part").over(order), F.min("part").over(order)))
-    lasts = mapped.where("kind = 'last'").select("doc_id", "part", "text", "fingerprint").join(heads, "part").join(firsts, "next")
-
-    def stitch(slices):
-        cache = WordHashes()
-        for rows_ in slices:
-            yield [judge(printer, cache, (r["doc_id"], r["text"], bytes.fromhex(r["fingerprint"])), (None, r["next_text"], bytes.fromhex(r["next_print"]))) for r in rows_]
 
-    done = mapped.where("kind = 'done'").select(*OUT.names)
-    return done.unionByName(map_rows(lasts, stitch, OUT))
+    dealt = in_ranges(rows, bounds).repartitionById(max(many, len(bounds)), F.col("range")).sortWithinPartitions("tail", "order", "th")
+    return map_rows(dealt, run, OUT)
