@@ -6,30 +6,39 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Letters that names are folded from and to, and the suffixes that a school name loses; fixed values.
-FOLD_FROM = "áàâäãåçéèêëíìîïñóòôöõúùûüýÿ"
-FOLD_TO = "aaaaaaceeeeiiiinooooouuuuyy"
+FOLD_FROM = "áàâäãåāéèêëēęíìîïīóòôöõōøúùûüūñńçćšśžźżýÿłæœß"
+FOLD_TO = "aaaaaaaeeeeeeiiiiiooooooouuuuunnccsszzzyylaos"
 SUFFIXES = ("high school", "hs", "highschool", "school", "sr high", "senior high")
 #: Result tokens without a mark; fixed values.
 TERMINAL = ("DQ", "DNF", "DNS", "NH", "FOUL", "NM", "NT", "SCR")
 AMBIGUOUS = ("X", "--")
 #: Mail domains of consumers rather than institutions; fixed values.
-CONSUMER_DOMAINS = ("gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "aol.com", "icloud.com", "msn.com", "live.com", "comcast.net", "verizon.net")
+CONSUMER_DOMAINS = ("gmail.com", "googlemail.com", "hotmail.com", "outlook.com", "live.com", "msn.com", "yahoo.com", "aol.com", "icloud.com", "me.com", "protonmail.com", "proton.me", "comcast.net", "sbcglobal.net", "att.net", "verizon.net", "ymail.com", "mail.com", "aim.com", "earthlink.net", "juno.com", "rr.com", "cox.net", "windstream.net", "centurytel.net", "frontier.com")
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: White space of any script, as names are split at it.
+WHITE = r"\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
+
 def normalize_name(name: Column | str) -> Column:
-    """Lower case, folded, separators as one space, other symbols gone, institutional suffixes cut."""
-    low = F.translate(F.lower(F.trim(_c(name))), FOLD_FROM, FOLD_TO)
-    spaced = F.regexp_replace(low, r"[-'.,/\s]+", " ")
+    """Lower case, folded, separators as one space, other symbols gone, institutional suffixes cut.
+
+    Suffixes go one after the other from the end, the longer of two that fit first; the first word stays.
+    """
+    low = F.translate(F.lower(_c(name)), FOLD_FROM, FOLD_TO)
+    spaced = F.regexp_replace(low, rf"[-'.,/{WHITE}]+", " ")
     plain = F.trim(F.regexp_replace(F.regexp_replace(spaced, r"[^0-9a-z ]", ""), " +", " "))
-    return F.regexp_replace(plain, f"( ({'|'.join(SUFFIXES)}))+$", "")
+    backwards = "|".join(s[::-1] for s in SUFFIXES)
+    return F.reverse(F.regexp_replace(F.reverse(plain), f"^(?:(?:{backwards}) )+", ""))
 
 
 def flip_last_first(name: Column | str) -> Column:
-    return F.regexp_replace(F.trim(_c(name)), r"^([^,]+),\s*(.+)$", "$2 $1")
+    """"Last, First" as "First Last"; anything else trimmed."""
+    return F.regexp_replace(F.trim(_c(name)), r"^([^,]*[^,\s])\s*,\s*(\S.*)$", "$2 $1")
 
 
 def compressed(text: Column | str) -> Column:
@@ -59,21 +68,22 @@ def set_digest(items: Column | str) -> Column:
     return F.sha2(F.array_join(F.array_sort(F.array_distinct(_c(items))), chr(0x1F)), 256)
 
 
-CLOCK = r"^(?:(\d+):)?(?:(\d{1,2}):)?(\d{1,2})(?:\.(\d{1,9}))?$"
+CLOCK = r"^(?:(?:(\d+):)?(\d+):)?(\d+)(?:\.(\d{1,9}))?$"
 
 
 def parse_clock_ns(text: Column | str) -> Column:
-    """[h:]m:ss.fff or ss.fff as nanoseconds; null unless minutes and seconds are below 60 and the time positive."""
+    """[[h:]m:]s[.fff] as nanoseconds; null unless positive and in range.
+
+    Seconds are below 60 after a colon, minutes after an hour; alone they may be more.
+    """
     t = F.trim(_c(text))
     ok = t.rlike(CLOCK)
-    part = lambda k: F.regexp_extract(t, CLOCK, k)
-    a, b = part(1), part(2)
-    hours = F.when((a != "") & (b != ""), a).otherwise("0").cast("long")
-    minutes = F.when(b != "", b).when(a != "", a).otherwise("0").cast("long")
-    seconds = F.when(ok, part(3)).otherwise("0").cast("long")
-    nanos = F.rpad(part(4), 9, "0")
-    value = ((hours * 60 + minutes) * 60 + seconds) * F.lit(1_000_000_000) + F.when(nanos == "", "0").otherwise(nanos).cast("long")
-    return F.when(ok & (seconds < 60) & (minutes < 60) & (value > 0), value)
+    number = lambda k: F.when(F.regexp_extract(t, CLOCK, k) != "", F.regexp_extract(t, CLOCK, k)).otherwise("0").try_cast("decimal(38,0)")
+    has = lambda k: F.regexp_extract(t, CLOCK, k) != ""
+    whole = (number(1) * 60 + number(2)) * 60 + number(3)
+    value = (whole.cast("decimal(28,0)") * F.lit(1_000_000_000) + F.rpad(F.regexp_extract(t, CLOCK, 4), 9, "0").try_cast("long")).try_cast("long")
+    fits = (~has(1) | (number(2) < 60)) & (~has(2) | (number(3) < 60)) & (value > 0)
+    return F.when(ok & fits, value)
 
 
 def format_clock(ns: Column | str, digits: int = 2) -> Column:
@@ -141,11 +151,10 @@ def published_date(text: Column | str) -> Column:
 
 
 def email_class(mail: Column | str) -> Column:
-    """consumer, institution or invalid; a subdomain of a consumer domain is one too."""
+    """consumer, institution or invalid (other than one @ between two parts); a subdomain of a consumer domain is one too."""
     m = F.lower(F.trim(_c(mail)))
-    domain = F.substring_index(m, "@", -1)
-    consumer = domain.rlike("(^|[.])(" + "|".join(d.replace(".", "[.]") for d in CONSUMER_DOMAINS) + ")$")
-    return F.when(~m.rlike(r"^[^@\s]+@[^@\s]+[.][^@\s]+$"), "invalid").when(consumer, "consumer").otherwise("institution")
+    consumer = F.substring_index(m, "@", -1).rlike(r"(^|\.)(" + "|".join(d.replace(".", r"\.") for d in CONSUMER_DOMAINS) + ")$")
+    return F.when(~m.rlike(r"^[^@]+@[^@]+$"), "invalid").when(consumer, "consumer").otherwise("institution")
 
 
 def csv_protect(cell: Column | str) -> Column:

@@ -8,19 +8,36 @@ from factloom.functions import scalars as S
 from factloom.plans.registry import query
 from factloom.sources.tables import load
 
-FOLD = f"translate(lower(trim(raw)), '{S.FOLD_FROM}', '{S.FOLD_TO}')"
-NORMALIZE = rf"regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace({FOLD}, '[-''.,/\s]+', ' ', 'g'), '[^0-9a-z ]', '', 'g'), ' +', ' ', 'g')), '( ({'|'.join(S.SUFFIXES)}))+$', '')"
+# The twin states its own tables: it must not agree with the functions by sharing theirs.
+FOLD = "translate(lower(raw), 'áàâäãåāéèêëēęíìîïīóòôöõōøúùûüūñńçćšśžźżýÿłæœß', 'aaaaaaaeeeeeeiiiiiooooooouuuuunnccsszzzyylaos')"
+PLAIN = rf"trim(regexp_replace(regexp_replace(regexp_replace({FOLD}, '[-''.,/\s]+', ' ', 'g'), '[^0-9a-z ]', '', 'g'), ' +', ' ', 'g'))"
+NORMALIZE = f"reverse(regexp_replace(reverse({PLAIN}), '^((loohcs hgih|sh|loohcshgih|loohcs|hgih rs|hgih roines) )+', ''))"
+NAMES = [" High School", "-HS", " Sr. High", " École's", " Łódź Straße", " Ærø Œuvre", " Senior High School", " Ńńćś-Żźšž/Āēīōūę HS School"]
 
 
 @query(f"""
-WITH r AS (SELECT p_partkey, p_name || CASE p_partkey % 4 WHEN 0 THEN ' High School' WHEN 1 THEN '-HS' WHEN 2 THEN ' Sr. High' ELSE ' École''s' END AS raw FROM part)
+WITH r AS (SELECT p_partkey, p_name || (['{"', '".join(n.replace("'", "''") for n in NAMES)}'])[p_partkey % 8 + 1] AS raw FROM part)
 SELECT p_partkey, {NORMALIZE} AS normalized, lower(regexp_replace(raw, '[^0-9A-Za-z]', '', 'g')) AS compressed FROM r""")
 def normalize_names(spark, sf):
-    k = F.col("p_partkey") % 4
-    raw = F.concat("p_name", F.when(k == 0, " High School").when(k == 1, "-HS").when(k == 2, " Sr. High").otherwise(" École's"))
+    raw = F.concat("p_name", F.element_at(F.array(*map(F.lit, NAMES)), (F.col("p_partkey") % 8 + 1).cast("int")))
     return load(spark, sf, "part").select("p_partkey", S.normalize_name(raw).alias("normalized"), S.compressed(raw).alias("compressed"))
 
 
+@query("""
+WITH v AS (SELECT DISTINCT l_partkey AS k, CAST(l_quantity AS BIGINT) AS q FROM lineitem),
+c AS (SELECT k, q, CASE k % 6 WHEN 0 THEN (q + 40) || '.2' WHEN 1 THEN (q * 3) || ':12.3' WHEN 2 THEN '1:' || lpad(CAST(q + 30 AS VARCHAR), 2, '0') || ':05' WHEN 3 THEN '2:' || (q + 30) || '.5' WHEN 4 THEN q || ':' ELSE q || '' END AS clock FROM v)
+SELECT clock, any_value(CASE k % 6 WHEN 0 THEN (q + 40) * 1000000000 + 200000000 WHEN 1 THEN q * 3 * 60000000000 + 12300000000 WHEN 2 THEN CASE WHEN q + 30 < 60 THEN (90 + q) * 60000000000 + 5000000000 END WHEN 3 THEN CASE WHEN q + 30 < 60 THEN (150 + q) * 1000000000 + 500000000 END WHEN 5 THEN q * 1000000000 END) AS ns
+FROM c GROUP BY 1""")
+def clock_forms(spark, sf):
+    """Clock texts of every form, with seconds and minutes above 60 where they may be and where not."""
+    v = load(spark, sf, "lineitem").select(F.col("l_partkey").alias("k"), F.col("l_quantity").cast("long").alias("q")).distinct()
+    text = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+    q = lambda n=0, m=1: (F.col("q") * m + n).cast("string")
+    k = F.col("k") % 6
+    clock = F.when(k == 0, text(q(40), ".2")).when(k == 1, text(q(0, 3), ":12.3")).when(k == 2, text("1:", q(30), ":05")).when(k == 3, text("2:", q(30), ".5")).when(k == 4, text(q(), ":")).otherwise(q())
+    return v.select(clock.alias("clock")).distinct().select("clock", S.parse_clock_ns("clock").alias("ns"))
+
+
 @query("SELECT c_custkey, 'cust_' || substr(sha256('cust' || chr(31) || c_name || chr(31) || CAST(c_nationkey AS VARCHAR)), 1, 16) AS id FROM customer")
 def mint_ids(spark, sf):
     return load(spark, sf, "customer").select("c_custkey", S.mint_id("cust", "c_name", "c_nationkey").alias("id"))

@@ -14,6 +14,16 @@ CASES = [
     (S.normalize_name, "  St. Mary's High School ", "st mary s"),
     (S.normalize_name, "École-du Nord HS", "ecole du nord"),
     (S.normalize_name, "High School", "high"),
+    (S.normalize_name, "Łódź", "lodz"),
+    (S.normalize_name, "Straße", "strase"),
+    (S.normalize_name, "Ærø", "aro"),
+    (S.normalize_name, "Œuvre Ńńćś Żźšž Āēīōūęý", "ouvre nncs zzsz aeiouey"),
+    (S.normalize_name, "East\u00a0Side\u2003Senior High School", "east side senior"),
+    (S.normalize_name, "Lee Sr. High School HS", "lee sr"),
+    (S.normalize_name, "Lee Sr. High", "lee"),
+    (S.normalize_name, "O'Neil & Sons / West", "o neil sons west"),
+    (S.flip_last_first, " Doe , Jane Q ", "Jane Q Doe"),
+    (S.flip_last_first, "Doe,", "Doe,"),
     (S.flip_last_first, "Doe, Jane", "Jane Doe"),
     (S.flip_last_first, "Jane Doe", "Jane Doe"),
     (S.compressed, "A-b 1!", "ab1"),
@@ -23,6 +33,14 @@ CASES = [
     (S.parse_clock_ns, "24.95", 24_950_000_000),
     (S.parse_clock_ns, "1:60.0", None),
     (S.parse_clock_ns, "0.00", None),
+    (S.parse_clock_ns, "61.2", 61_200_000_000),
+    (S.parse_clock_ns, "75:12.3", 4_512_300_000_000),
+    (S.parse_clock_ns, "1:75:12.3", None),
+    (S.parse_clock_ns, "123:59:59.999999999", 446_399_999_999_999),
+    (S.parse_clock_ns, ":12", None),
+    (S.parse_clock_ns, "12.", None),
+    (S.parse_clock_ns, "1.1234567890", None),
+    (S.parse_clock_ns, "9999999999999999999999", None),
     (S.parse_clock_ns, "x", None),
     (S.parse_feet_um, "19-00.25", (19 * 1200 + 25) * 254),
     (S.parse_feet_um, "19' 0.25\"", (19 * 1200 + 25) * 254),
@@ -34,6 +52,12 @@ CASES = [
     (S.result_status, "--", "ambiguous"),
     (S.email_class, "a@mail.gmail.com", "consumer"),
     (S.email_class, "a@x.edu", "institution"),
+    (S.email_class, "a@googlemail.com", "consumer"),
+    (S.email_class, "a@ME.com", "consumer"),
+    (S.email_class, "a@cox.net", "consumer"),
+    (S.email_class, "a@acox.net", "institution"),
+    (S.email_class, "a@host", "institution"),
+    (S.email_class, "@x.de", "invalid"),
     (S.email_class, "a@b@c.de", "invalid"),
     (S.csv_protect, " =1+1", "' =1+1"),
     (S.csv_protect, "plain", "plain"),
