@@ -18,10 +18,10 @@ def best_per_key(df: DataFrame, key: list[str], value: str, larger: bool, date:
 
 
 def tied_ids(df: DataFrame, key: list[str], value: str, larger: bool, id_col: str) -> DataFrame:
-    """The winning value and every id that has it."""
-    best = df.groupBy(*key).agg((F.max if larger else F.min)(value).alias("best"))
-    same = df.join(best, key).where(F.col(value) == F.col("best"))
-    return same.groupBy(*key, "best").agg(F.array_join(F.array_sort(F.collect_set(id_col)).cast("array<string>"), ",").alias("tied"), F.count_distinct(id_col).alias("n_tied"))
+    """A row for each key and id that has the winning value: key, best, id. No list of ties is gathered."""
+    seen = df.where(F.col(value).isNotNull()).groupBy(*key, id_col).agg((F.max if larger else F.min)(value).alias("best"))
+    best = seen.groupBy(*key).agg((F.max if larger else F.min)("best").alias("best"))
+    return seen.join(best, [*key, "best"]).select(*key, "best", id_col)
 
 
 def split_contested(df: DataFrame, key: list[str], context: list[str], value: str) -> tuple[DataFrame, DataFrame]:

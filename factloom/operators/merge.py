@@ -60,22 +60,31 @@ def sticky(df: DataFrame, ids: list[str], order: list[str], terminal: Column, co
 
 
 def conflict_report(df: DataFrame, ids: list[str], columns: list[str]) -> DataFrame:
-    """A row for each id and contradicted column: how many values, and the least and greatest."""
-    agg = [F.struct(F.count_distinct(c).alias("n"), F.min(c).cast("string").alias("low"), F.max(c).cast("string").alias("high")).alias(c) for c in columns]
-    wide = df.groupBy(*ids).agg(*agg)
-    long = wide.select(*ids, F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c)["n"].alias("n_values"), F.col(c)["low"].alias("low"), F.col(c)["high"].alias("high")) for c in columns])).alias("x"))
-    return long.select(*ids, "x.*").where("n_values > 1")
+    """A row for each id and contradicted column: how many values, and the least and greatest.
+
+    One pass of plain aggregates finds what is contradicted; distinct values are counted for that only.
+    """
+    ends = [f(c).cast("string").alias(f"{k}_{c}") for c in columns for k, f in (("low", F.min), ("high", F.max))]
+    wide = df.groupBy(*ids).agg(*ends)
+    fields = F.array(*[F.when(F.col(f"low_{c}") != F.col(f"high_{c}"), F.struct(F.lit(c).alias("field"), F.col(f"low_{c}").alias("low"), F.col(f"high_{c}").alias("high"))) for c in columns])
+    found = wide.select(*ids, F.explode(F.filter(fields, lambda x: x.isNotNull())).alias("x")).select(*ids, "x.*")
+    named = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns])).alias("x")
+    values = df.join(found.select(*ids).distinct(), ids, "left_semi").select(*ids, named).select(*ids, "x.*").where("value is not null")
+    n = values.distinct().groupBy(*ids, "field").agg(F.count("*").alias("n_values"))
+    return found.join(n, [*ids, "field"]).select(*ids, "field", "n_values", "low", "high")
 
 
 def fold_in_order(df: DataFrame, ids: list[str], order: list[str], value: str, evidence: str) -> DataFrame:
     """The exact order-dependent fold: a row that contradicts the held value gives its evidence only.
 
-    Returns value (the first known), evidence (sorted union, joined) and dropped (contradicting rows).
+    Returns value (the first known), evidence (sorted union, joined) and dropped (contradicting rows). Rows are
+    counted by value and the counts folded by id, so no row meets its id's result again.
     """
-    own = F.min_by(value, F.when(F.col(value).isNotNull(), F.struct(*order)))
-    held = df.groupBy(*ids).agg(own.alias("held"))
-    both = df.join(held, ids)
-    return both.groupBy(*ids).agg(F.min("held").alias(value), F.array_join(F.array_sort(F.collect_set(F.col(evidence).cast("string"))), ",").alias("evidence"), F.count_if(F.col(value) != F.col("held")).alias("dropped"))
+    known = F.col(value).isNotNull()
+    by_value = df.groupBy(*ids, value).agg(F.min(F.struct(*order)).alias("at"), F.count("*").alias("n"), F.collect_set(F.col(evidence).cast("string")).alias("e"))
+    own = F.min_by(F.struct(value, "n"), F.when(known, F.col("at"))).alias("own")
+    by_id = by_value.groupBy(*ids).agg(own, F.sum(F.when(known, F.col("n"))).alias("all"), F.collect_list("e").alias("e"))
+    return by_id.select(*ids, F.col("own")[value].alias(value), F.array_join(F.array_sort(F.array_distinct(F.flatten("e"))), ",").alias("evidence"), F.coalesce(F.col("all") - F.col("own.n"), F.lit(0)).alias("dropped"))
 
 
 def walk(df: DataFrame, name: str, ids: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from factloom.operators import relate
+from factloom.operators import guards, relate
 from factloom.plans.registry import query
 from factloom.sources.tables import day, load, money
 
@@ -85,13 +85,13 @@ def as_of_visible(spark, sf):
 
 
 @query("""
-WITH idx AS (SELECT s_nationkey, count(DISTINCT s_suppkey) AS n, min(s_suppkey) AS m FROM supplier WHERE s_acctbal > 8000 GROUP BY 1)
+WITH idx AS (SELECT s_nationkey, s_suppkey % 40 AS pocket, count(DISTINCT s_suppkey) AS n, min(s_suppkey) AS m FROM supplier GROUP BY 1, 2)
 SELECT c_custkey, CASE WHEN n IS NULL THEN 'absent' WHEN n > 1 THEN 'ambiguous' ELSE 'unique' END AS outcome, CASE WHEN n = 1 THEN m END AS match
-FROM customer LEFT JOIN idx ON c_nationkey = s_nationkey""")
+FROM customer LEFT JOIN idx ON c_nationkey = s_nationkey AND c_custkey % 40 = pocket""")
 def unique_match_join(spark, sf):
-    s = load(spark, sf, "supplier").where("s_acctbal > 8000").select(F.col("s_nationkey").alias("place"), "s_suppkey")
-    c = load(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("place"))
-    return relate.unique_match(c, s, ["place"], "s_suppkey").select("c_custkey", "outcome", "match")
+    s = load(spark, sf, "supplier").select(F.col("s_nationkey").alias("place"), (F.col("s_suppkey") % 40).alias("pocket"), "s_suppkey")
+    c = load(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("place"), (F.col("c_custkey") % 40).alias("pocket"))
+    return relate.unique_match(c, s, ["place", "pocket"], "s_suppkey").select("c_custkey", "outcome", "match")
 
 
 @query("""
@@ -189,6 +189,8 @@ FROM part a JOIN part b ON a.p_type = b.p_type AND a.p_name = b.p_name AND a.p_p
 def pair_flags(spark, sf):
     """Pairs within a block (same type and name), flagged by what agrees."""
     p = load(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_brand")
+    # a block beyond the budget is refused whole, not compared; none of the tables has one
+    p, _ = guards.refuse_groups(p, ["p_type", "p_name"], 100_000)
     a, b = p.alias("a"), p.alias("b")
     pairs = a.join(b, (F.col("a.p_type") == F.col("b.p_type")) & (F.col("a.p_name") == F.col("b.p_name")) & (F.col("a.p_partkey") < F.col("b.p_partkey")))
     return pairs.select(F.col("a.p_partkey").alias("a"), F.col("b.p_partkey").alias("b"), (F.col("a.p_size") == F.col("b.p_size")).alias("same_size"), (F.col("a.p_brand") == F.col("b.p_brand")).alias("same_brand"))

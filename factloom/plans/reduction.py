@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from factloom.operators import best, guards
+from factloom.operators import best, guards, ranks
 from factloom.plans.registry import query
 from factloom.sources.tables import day, load, money
 
@@ -30,12 +30,11 @@ def best_ship_price(spark, sf):
 
 @query("""
 WITH b AS (SELECT l_suppkey, max(l_quantity) AS best FROM lineitem GROUP BY 1)
-SELECT l_suppkey, best, string_agg(DISTINCT CAST(l_orderkey AS VARCHAR), ',' ORDER BY CAST(l_orderkey AS VARCHAR)) AS tied, count(DISTINCT l_orderkey) AS n_tied
-FROM lineitem JOIN b USING (l_suppkey) WHERE l_quantity = best GROUP BY 1, 2""")
+SELECT DISTINCT l_suppkey, best, l_orderkey FROM lineitem JOIN b USING (l_suppkey) WHERE l_quantity = best""")
 def best_with_ties(spark, sf):
+    """Every order that ties for a supplier's greatest quantity."""
     l = load(spark, sf, "lineitem").select("l_suppkey", "l_quantity", "l_orderkey")
-    out = best.tied_ids(l, ["l_suppkey"], "l_quantity", True, "l_orderkey")
-    return out.select("l_suppkey", "best", F.array_join(F.array_sort(F.split("tied", ",")), ",").alias("tied"), "n_tied")
+    return best.tied_ids(l, ["l_suppkey"], "l_quantity", True, "l_orderkey")
 
 
 CONTEXT = "SELECT l_suppkey, l_orderkey, l_linenumber, min(l_extendedprice) AS low, max(l_extendedprice) AS high FROM lineitem GROUP BY ALL"
@@ -97,15 +96,15 @@ def top_k_sorted(spark, sf):
 @query("SELECT o_orderstatus, o_orderkey, CAST(floor((row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) / 1000) AS BIGINT) + 1 AS page FROM orders")
 def sheet_pages(spark, sf):
     """Page numbers of a thousand rows a sheet family."""
-    rn = F.row_number().over(W.partitionBy("o_orderstatus").orderBy("o_orderkey"))
-    return load(spark, sf, "orders").select("o_orderstatus", "o_orderkey", (F.floor((rn - 1) / 1000) + 1).cast("long").alias("page"))
+    o = ranks.numbered(load(spark, sf, "orders").select("o_orderstatus", "o_orderkey"), ["o_orderstatus"], ["o_orderkey"])
+    return o.select("o_orderstatus", "o_orderkey", (F.floor((F.col("rank") - 1) / 1000) + 1).cast("long").alias("page"))
 
 
 @query("SELECT o_orderpriority, o_orderkey FROM (SELECT o_orderpriority, o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS rn FROM orders) WHERE (rn - 1) % 25 = 0")
 def systematic_sample(spark, sf):
     """Every 25th row of a group (sampling is the feature)."""
-    rn = F.row_number().over(W.partitionBy("o_orderpriority").orderBy("o_orderkey"))
-    return load(spark, sf, "orders").select("o_orderpriority", "o_orderkey", rn.alias("rn")).where("(rn - 1) % 25 = 0").drop("rn")
+    o = ranks.numbered(load(spark, sf, "orders").select("o_orderpriority", "o_orderkey"), ["o_orderpriority"], ["o_orderkey"])
+    return o.where("(rank - 1) % 25 = 0").drop("rank")
 
 
 @query("""

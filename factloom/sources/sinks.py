@@ -1,7 +1,8 @@
 """Sinks: generations with an atomic pointer, exactly-once commits, sheets, JSON lines, bundles.
 
 Small control files (pointers, receipts, manifests) go through Hadoop's file system, so they work wherever Spark
-can write. A generation is written aside and becomes visible by one rename of the pointer file.
+can write. Such a file is written aside and appears under its own, new name by one rename; none is ever replaced or
+deleted before its successor is there. A table's visible generation is the greatest that has a pointer file.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from factloom.functions.scalars import csv_protect
+from factloom.operators.ranks import numbered
 
 
 class Store:
-    """Derived tables in root/table/generation=N, with root/table/CURRENT naming the visible one."""
+    """Derived tables in root/table/generation=N; root/table/CURRENT-N makes generation N and later ones visible."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -35,23 +37,33 @@ class Store:
         finally:
             stream.close()
 
-    def _write(self, name: str, text: str) -> None:
-        aside = self._path(f"{self.root}/{name}.{uuid.uuid4().hex}")
+    def _create(self, name: str, text: str) -> bool:
+        """A new control file, whole or not at all; False if the name is taken."""
+        aside = self._path(f"{self.root}/{name}.{uuid.uuid4().hex}.tmp")
         out = self._fs.create(aside)
         out.write(bytearray(text.encode()))
         out.close()
         target = self._path(f"{self.root}/{name}")
-        self._fs.delete(target, False)
-        self._fs.rename(aside, target)
+        if not self._fs.exists(target) and self._fs.rename(aside, target):
+            return True
+        self._fs.delete(aside, False)
+        return False
+
+    def _greatest(self, folder: str, prefix: str) -> int:
+        """The greatest number of the files prefix-N in the folder, 0 without any."""
+        path = self._path(f"{self.root}/{folder}")
+        names = [s.getPath().getName() for s in self._fs.listStatus(path)] if self._fs.exists(path) else []
+        return max((int(n.removeprefix(prefix)) for n in names if n.startswith(prefix) and n.removeprefix(prefix).isdigit()), default=0)
 
     def generation(self, table: str) -> int:
-        return int(self._read(f"{table}/CURRENT") or 0)
+        return self._greatest(table, "CURRENT-")
 
     def publish(self, table: str, df: DataFrame) -> int:
-        """Write the next generation aside, then point to it; readers see the old one or the new one."""
+        """Write the next generation, then its pointer; readers see the old one or the new one, whenever this stops."""
         n = self.generation(table) + 1
         df.write.mode("overwrite").parquet(f"{self.root}/{table}/generation={n}")
-        self._write(f"{table}/CURRENT", str(n))
+        if not self._create(f"{table}/CURRENT-{n}", str(n)):
+            raise ValueError(f"generation {n} of {table} was published by another writer")
         return n
 
     def read(self, table: str, generation: int | None = None) -> DataFrame:
@@ -63,10 +75,11 @@ class Store:
         return [(t, n, self.read(t).count()) for t in found if (n := self.generation(t))]
 
     def reclaim(self, table: str) -> int:
-        """Delete generations before the current one."""
+        """Delete generations before the current one, and their pointers after them."""
         now, gone = self.generation(table), 0
         for n in range(1, now):
             gone += self._fs.delete(self._path(f"{self.root}/{table}/generation={n}"), True)
+            self._fs.delete(self._path(f"{self.root}/{table}/CURRENT-{n}"), False)
         return gone
 
     def append(self, table: str, df: DataFrame, order: list[Column]) -> None:
@@ -85,34 +98,66 @@ class Store:
         rows.join(base, "part").withColumn("seq", seq.cast("long")).drop("part", "at", "base").write.mode("append").parquet(path)
         self._fs.delete(self._path(aside), True)
 
-    def commit_once(self, table: str, operation: str, df: DataFrame) -> str:
+    def _content(self, path: str) -> str:
+        """An order-free digest of the rows of a written table."""
+        df = self.spark.read.parquet(path)
+        n, h = df.select(F.xxhash64(F.struct(*sorted(df.columns))).cast("decimal(38,0)").alias("h")).agg(F.count("*"), F.coalesce(F.sum("h"), F.lit(0))).first()
+        return hashlib.sha256(json.dumps([n, str(h)]).encode()).hexdigest()
+
+    def commit_once(self, table: str, operation: str | None, df: DataFrame) -> str:
         """written, or repeated if the operation was applied; another payload under its name is refused.
 
-        Data goes to a folder named by the operation, so a retry before the receipt overwrites its own.
+        Without a name, the operation is named by its content. Rows are written aside once, then named, then
+        get their receipt; a run that stops between any two of these is completed by the next one.
         """
-        content = df.select(F.xxhash64(F.struct(*df.columns)).alias("h")).agg(F.count("*"), F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0))).first()
-        digest = hashlib.sha256(json.dumps([str(x) for x in content]).encode()).hexdigest()
-        receipt = f"{table}/receipts/{hashlib.sha256(operation.encode()).hexdigest()}"
-        known = self._read(receipt)
+        aside = f"{self.root}/{table}/batches/_aside-{uuid.uuid4().hex}"
+        df.write.parquet(aside)
+        digest = self._content(aside)
+        name = hashlib.sha256((operation or f"content {digest}").encode()).hexdigest()
+        known = self._read(f"{table}/receipts/{name}")
         if known:
+            self._fs.delete(self._path(aside), True)
             if json.loads(known)["digest"] != digest:
                 raise ValueError(f"operation {operation} was applied with another payload")
             return "repeated"
-        df.write.mode("overwrite").parquet(f"{self.root}/{table}/batches/operation={hashlib.sha256(operation.encode()).hexdigest()[:16]}")
-        self._write(receipt, json.dumps({"operation": operation, "digest": digest}))
+        target = self._path(f"{self.root}/{table}/batches/operation={name[:32]}")
+        self._fs.delete(target, True)
+        self._fs.rename(self._path(aside), target)
+        self._create(f"{table}/receipts/{name}", json.dumps({"operation": operation, "digest": digest}))
         return "written"
 
+    def committed(self, table: str) -> DataFrame:
+        """The rows of every operation that has its receipt; operations under way don't show."""
+        path = self._path(f"{self.root}/{table}/receipts")
+        names = sorted(s.getPath().getName() for s in self._fs.listStatus(path)) if self._fs.exists(path) else []
+        base = f"{self.root}/{table}/batches"
+        return self.spark.read.option("basePath", base).parquet(*[f"{base}/operation={n[:32]}" for n in names if not n.endswith(".tmp")])
+
     def bundle(self, name: str, tables: dict[str, DataFrame]) -> dict:
-        """Several tables under one manifest of row counts and order-free digests, sealed last."""
-        made = {}
+        """Several tables under one manifest of row counts and digests read back from what was written; the manifest seals them.
+
+        Each call builds aside and appears with its manifest, whose number is the greatest.
+        """
+        n, made = self._greatest(name, "MANIFEST-") + 1, {}
         for table, df in tables.items():
-            path = f"{self.root}/{name}/{table}"
+            path = f"{self.root}/{name}/build-{n}/{table}"
             df.write.mode("overwrite").parquet(path)
-            n, h = self.spark.read.parquet(path).select(F.xxhash64(F.struct(*df.columns)).cast("decimal(38,0)").alias("h")).agg(F.count("*"), F.sum("h")).first()
-            made[table] = {"rows": n, "digest": str(h)}
-        self._write(f"{name}/MANIFEST.json", json.dumps(made, sort_keys=True))
+            made[table] = {"rows": self.spark.read.parquet(path).count(), "digest": self._content(path)}
+        if not self._create(f"{name}/MANIFEST-{n}", json.dumps(made, sort_keys=True)):
+            raise ValueError(f"bundle {name} was sealed by another writer")
         return made
 
+    def open_bundle(self, name: str) -> dict[str, DataFrame]:
+        """The tables of the sealed bundle; a table that its manifest doesn't match is refused."""
+        n = self._greatest(name, "MANIFEST-")
+        out = {}
+        for table, told in json.loads(self._read(f"{name}/MANIFEST-{n}") or "{}").items():
+            path = f"{self.root}/{name}/build-{n}/{table}"
+            out[table] = self.spark.read.parquet(path)
+            if out[table].count() != told["rows"] or self._content(path) != told["digest"]:
+                raise ValueError(f"{table} of {name} isn't what was sealed")
+        return out
+
 
 def consolidate(df: DataFrame, path: str) -> None:
     """The merged table as JSON lines."""
@@ -121,9 +166,9 @@ def consolidate(df: DataFrame, path: str) -> None:
 
 def write_sheets(df: DataFrame, path: str, family: str, order: list[str], rows: int = 1_000_000) -> None:
     """CSV sheets of at most `rows` rows: family, page; cells that look like formulas are quoted."""
-    page = F.floor((F.row_number().over(W.partitionBy(family).orderBy(*order)) - 1) / rows) + 1
+    page = F.floor((F.col("rank") - 1) / rows) + 1
     safe = [csv_protect(c).alias(c) if t == "string" and c != family else F.col(c) for c, t in df.dtypes]
-    df.select(*safe, page.cast("int").alias("page")).write.mode("overwrite").partitionBy(family, "page").option("header", True).csv(path)
+    numbered(df, [family], order).select(*safe, page.cast("int").alias("page")).write.mode("overwrite").partitionBy(family, "page").option("header", True).csv(path)
 
 
 def markdown(df: DataFrame, most: int = 200) -> str:

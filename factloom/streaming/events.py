@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.operators.durable import shared_dir
+from factloom.operators.durable import delete_at_exit, shared_dir
 from factloom.sources.sinks import Store
 
 SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -42,23 +42,15 @@ def credited_once(events: DataFrame, late: str = "1 day") -> DataFrame:
 
 
 def running_counts(events: DataFrame) -> DataFrame:
-    """A keyed state: each user's number of events so far, emitted whenever it changes."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
+    """A keyed state: each user's number of events so far, emitted whenever it changes (update mode)."""
+    return events.groupBy("user_id").agg(F.count("*").alias("n"))
 
-    def step(key, frames, state):
-        import pandas as pd
 
-        n = (state.get[0] if state.exists else 0) + sum(len(f) for f in frames)
-        state.update((n,))
-        yield pd.DataFrame({"user_id": [key[0]], "n": [n]})
-
-    return events.groupBy("user_id").applyInPandasWithState(step, "user_id long, n long", "n long", "update", GroupStateTimeout.NoTimeout)
-
-
-def run_to_table(stream: DataFrame, mode: str = "complete", sink: Callable[[DataFrame, int], None] | None = None) -> DataFrame | None:
+def run_to_table(stream: DataFrame, mode: str = "complete", sink: Callable[[DataFrame, int], None] | None = None, state: str | None = None) -> DataFrame | None:
     """Run all available input; with sink, each micro-batch goes to it, else the result is a table read back.
 
-    State and output live in the shared folder, so a lost executor's tasks start again elsewhere.
+    State and output live in the shared folder, so a lost executor's tasks start again elsewhere. With state, a
+    folder that stays, a later run goes on where the last one stopped.
     """
     spark = stream.sparkSession
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
@@ -69,13 +61,16 @@ def run_to_table(stream: DataFrame, mode: str = "complete", sink: Callable[[Data
         else:
             df.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{base}/out")
 
-    stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    stream.writeStream.outputMode(mode).option("checkpointLocation", state or f"{base}/state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    if not state:
+        delete_at_exit(spark, base)
     return None if sink else spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
 def ingest(stream: DataFrame, store: Store, table: str) -> None:
-    """Exactly-once ingest: a batch's receipt is written after its data, and a repeated batch is recognised."""
-    run_to_table(stream, "append", lambda df, batch: store.commit_once(table, f"batch-{batch}", df))
+    """Exactly-once ingest, resumable: the stream's state lies beside the store, and what a crash between data and
+    state delivers again is known by its content."""
+    run_to_table(stream, "append", lambda df, batch: store.commit_once(table, None, df), f"{store.root}/{table}/stream-state")
 
 
 def route_late(events: DataFrame, as_of: str) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from factloom.operators import best, guards, history, merge, relate, resolve
+from factloom.operators import best, guards, history, merge, ranks, relate, resolve
 from factloom.operators.profile import Profile
 
 
@@ -33,7 +33,7 @@ def test_best_ties_and_unknown_dates(spark):
     df = spark.createDataFrame([("k", 10, None, 1), ("k", 10, "2020", 2), ("k", 10, "2020", 3), ("k", 9, "2019", 4)], "key string, v int, d string, id int")
     assert best.best_per_key(df, ["key"], "v", True, "d", ["id"], []).first().id == 2
     assert best.best_per_key(df, ["key"], "v", False, "d", ["id"], []).first().id == 4
-    assert best.tied_ids(df, ["key"], "v", True, "id").first().tied == "1,2,3"
+    assert sorted((r.best, r.id) for r in best.tied_ids(df, ["key"], "v", True, "id").collect()) == [(10, 1), (10, 2), (10, 3)]
 
 
 def test_contested_context_has_no_candidate(spark):
@@ -95,6 +95,20 @@ def test_identity_replay(spark):
     assert got == {1: 1, 2: 1, 5: 5, 7: 5}
 
 
+def test_ranks_in_a_group_that_spans_ranges(spark):
+    rows = [("hot" if i % 4 else None, i) for i in range(4000)] + [("b", 1)]
+    df = spark.createDataFrame(rows, "g string, i int").repartition(5)
+    got = ranks.numbered(df, ["g"], ["i"]).collect()
+    for g in ("hot", None, "b"):
+        mine = sorted((r.i, r["rank"]) for r in got if r.g == g)
+        assert [n for _, n in mine] == list(range(1, len(mine) + 1)) and len(mine) == sum(x == g for x, _ in rows)
+
+
+def test_conflicts_count_known_values(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "b", 1), (1, "a", None), (2, None, 3), (2, "x", 4), (2, "x", 5)], "id int, s string, n int")
+    assert sorted(map(tuple, merge.conflict_report(df, ["id"], ["s", "n"]).collect())) == [(1, "s", 2, "a", "b"), (2, "n", 3, "3", "5")]
+
+
 def test_profile():
     assert Profile(places=("b", "a", "a")).id == Profile(places=("a", "b")).id != Profile(places=("a",)).id
     with pytest.raises(ValueError):

@@ -63,6 +63,79 @@ def test_store(spark, tmp_path):
     store.append("log", df, [F.col("id")])
     assert sorted(r.seq for r in spark.read.parquet(f"{store.root}/log/log").collect()) == list(range(20))
     assert store.bundle("b", {"x": df})["x"]["rows"] == 10
+    assert store.bundle("b", {"x": spark.range(4)})["x"]["rows"] == 4 and store.open_bundle("b")["x"].count() == 4
+
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("steps", range(8))
+def test_publish_survives_a_stop_between_any_two_steps(spark, tmp_path, steps):
+    """The file system stops working after some calls; the old generation shows until the new one does, and a retry completes it."""
+    store = sinks.Store(spark, f"file://{tmp_path}/s")
+    store.publish("d", spark.range(3))
+    assert store.commit_once("t", "one", spark.range(2)) == "written"
+    real, left = store._fs, [steps]
+
+    class Failing:
+        def __getattr__(self, name):
+            if name in ("create", "rename", "delete"):
+                left[0] -= 1
+                if left[0] < 0:
+                    raise Crash
+            return getattr(real, name)
+
+    store._fs = Failing()
+    done = []
+    try:
+        store.publish("d", spark.range(5))
+        done.append("publish")
+        store.commit_once("t", "two", spark.range(7))
+        done.append("commit")
+        store.bundle("b", {"x": spark.range(6)})
+        done.append("bundle")
+    except Crash:
+        pass
+    after = sinks.Store(spark, store.root)
+    assert after.read("d").count() == (5 if "publish" in done else 3)
+    assert after.committed("t").count() == (9 if "commit" in done else 2)
+    if "publish" not in done:
+        after.publish("d", spark.range(5))
+    assert after.read("d").count() == 5
+    assert after.commit_once("t", "two", spark.range(7)) == ("repeated" if "commit" in done else "written")
+    assert after.committed("t").count() == 9
+    after.bundle("b", {"x": spark.range(6)})
+    assert after.open_bundle("b")["x"].count() == 6
+
+
+def test_a_changed_bundle_is_refused(spark, tmp_path):
+    store = sinks.Store(spark, f"file://{tmp_path}/s")
+    store.bundle("b", {"x": spark.range(6)})
+    spark.range(1, 7).write.mode("overwrite").parquet(f"{store.root}/b/build-1/x")
+    with pytest.raises(ValueError):
+        store.open_bundle("b")
+
+
+def test_ingest_goes_on_after_the_source_has_grown(spark, tmp_path):
+    schema = "event_id long, ts timestamp"
+    row = lambda a, b: spark.range(a, b).selectExpr("id as event_id", "timestamp'2024-01-01 00:00:00' as ts")
+    row(0, 10).write.parquet(f"file://{tmp_path}/in/a")
+    store = sinks.Store(spark, f"file://{tmp_path}/s")
+    stream = lambda: spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"file://{tmp_path}/in")
+    E.ingest(stream(), store, "t")
+    row(10, 25).write.parquet(f"file://{tmp_path}/in/b")
+    E.ingest(stream(), store, "t")
+    assert store.committed("t").count() == 25
+    real = store._create
+    store._create = lambda name, text: (_ for _ in ()).throw(Crash("between data and receipt"))
+    row(25, 30).write.parquet(f"file://{tmp_path}/in/c")
+    with pytest.raises(Exception):
+        E.ingest(stream(), store, "t")
+    store._create = real
+    assert store.committed("t").count() == 25
+    E.ingest(stream(), store, "t")
+    assert sorted(r.event_id for r in store.committed("t").collect()) == list(range(30))
 
 
 def test_sheets_and_markdown(spark, tmp_path):
