@@ -80,17 +80,20 @@ def surface_season_access(spark, sf):
 
 
 @query("""
-WITH RECURSIVE d AS (SELECT p_partkey AS seq, CASE p_partkey % 5 WHEN 0 THEN 'split' WHEN 1 THEN 'revoke' ELSE 'merge' END AS kind, least(p_partkey % 40, p_size + 40) AS a, greatest(p_partkey % 40, p_size + 40) AS b FROM part),
+WITH RECURSIVE d AS (SELECT p_partkey AS seq, CASE p_partkey % 5 WHEN 0 THEN 'split' WHEN 1 THEN 'revoke' ELSE 'merge' END AS kind, p_partkey // 2 AS a, p_partkey AS b FROM part
+  UNION ALL SELECT 1000000000 + p_partkey, CASE p_size % 3 WHEN 0 THEN 'merge' WHEN 1 THEN 'split' ELSE 'revoke' END, p_partkey // 2, p_partkey FROM part WHERE p_size > 25),
 l AS (SELECT a, b FROM d GROUP BY a, b HAVING arg_max(kind, seq) = 'merge'),
 e AS (SELECT a, b FROM l WHERE a <> b UNION SELECT b, a FROM l WHERE a <> b),
 r(v, x) AS (SELECT a, a FROM e UNION SELECT r.v, e.b FROM r JOIN e ON r.x = e.a)
 SELECT v AS id, min(x) AS canonical FROM r GROUP BY v""")
 def identity_replay(spark, sf):
-    """Merge, split and revoke decisions replayed: the last on a pair counts, the oldest id is canonical."""
-    k = F.col("p_partkey") % 5
-    kind = F.when(k == 0, "split").when(k == 1, "revoke").otherwise("merge")
-    d = load(spark, sf, "part").select(F.col("p_partkey").alias("seq"), kind.alias("kind"), (F.col("p_partkey") % 40).alias("a"), (F.col("p_size") + 40).cast("long").alias("b"))
-    return history.replay(d)
+    """Merge, split and revoke decisions on every part, some decided twice, replayed: the last on a pair counts, the oldest id is canonical."""
+    part = load(spark, sf, "part")
+    pair = [F.floor(F.col("p_partkey") / 2).cast("long").alias("a"), F.col("p_partkey").alias("b")]
+    k, s = F.col("p_partkey") % 5, F.col("p_size") % 3
+    first = part.select(F.col("p_partkey").alias("seq"), F.when(k == 0, "split").when(k == 1, "revoke").otherwise("merge").alias("kind"), *pair)
+    again = part.where("p_size > 25").select((F.col("p_partkey") + 1_000_000_000).alias("seq"), F.when(s == 0, "merge").when(s == 1, "split").otherwise("revoke").alias("kind"), *pair)
+    return history.replay(first.unionByName(again))
 
 
 ASSERTIONS = [("BUILDING", 0, 50, True), ("BUILDING", 40, 60, False), ("MACHINERY", 0, 1000, True), ("FURNITURE", 10, 20, False)]

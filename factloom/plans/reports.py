@@ -65,14 +65,13 @@ def funnel_check(spark, sf):
 
 
 @query("""
-SELECT o_orderpriority, CASE WHEN count(CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END) = count(*) THEN CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) END AS complete_total, count(*) AS n
-FROM orders WHERE o_custkey % 3 = 0 OR o_orderpriority = '1-URGENT' GROUP BY 1""")
+SELECT o_custkey, CASE WHEN count(CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END) = count(*) THEN CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) END AS complete_total, count(*) AS n
+FROM orders GROUP BY 1""")
 def null_if_incomplete(spark, sf):
-    """A total only where every row declares the stage. (The filter is the report's own scope.)"""
+    """A customer's total only where every order declares the stage."""
     declared = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))
-    o = load(spark, sf, "orders").where("o_custkey % 3 = 0 or o_orderpriority = '1-URGENT'")
     total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
-    return o.groupBy("o_orderpriority").agg(F.when(F.count(declared) == F.count("*"), total).alias("complete_total"), F.count("*").alias("n"))
+    return load(spark, sf, "orders").groupBy("o_custkey").agg(F.when(F.count(declared) == F.count("*"), total).alias("complete_total"), F.count("*").alias("n"))
 
 
 @query("SELECT source, string_agg(lang || '=' || n, ',' ORDER BY lang) AS histogram, CAST(sum(n) AS BIGINT) AS documents FROM (SELECT coalesce(source, '?') AS source, coalesce(lang, '?') AS lang, count(*) AS n FROM documents GROUP BY ALL) GROUP BY 1")
