@@ -3,14 +3,20 @@
 Each document is the set of its distinct k-word shingles. Rounds of hashed bin placement (a round
 hashes every shingle to a bin and a value; round t + b sends every shingle to bin b) fill all t
 coordinates of a sketch, and an early round always wins, so two sketches agree in a coordinate with
-the probability of the Jaccard likeness, with concentration like t independent draws. Bands of the
-sketch propose candidates; every link is confirmed on whole shingle sets.
+the probability of the Jaccard likeness, with concentration like t independent draws. A coordinate is kept as
+one byte. Bands of the sketch propose candidates; every link is confirmed on whole shingle sets.
 
-Work is kept near linear by classes: documents with equal shingle sets are one node. Nodes that
-share a band key are first compared with one centre of that key; what is then joined is done.
-Keys that still hold several components are searched in blocks of bounded size, and only pairs
-whose sketches come near the threshold are verified: first each member's three best, then, between
-the components that are left, every one. No partner or bucket is capped.
+Work is kept near linear by classes and blocks. Documents with equal shingle sets are one node, and only
+one row of them carries its text on. First, each node is held against one centre: of the least nodes of its band
+keys the one that shares most keys with it. Then keys that still hold several components are searched: their
+members are dealt into blocks, where members of the largest component meet only the others. A block
+first tells from sketches which members have a candidate at all; only their texts travel on, and the block
+verifies its candidates there, skipping those that a link found before has joined. So pairs never become
+rows, and what leaves a block is at most a link for each member. No partner, bucket or block count is capped.
+
+Hot keys: a centre's members are dealt by hash into groups of about `block`; joins on a class, a component or a
+key are between written tables, where Spark may split a large partition. The joins that fetch texts are merge
+joins at every size: what they meet grows with the corpus.
 
 Defined cases: null or empty text, or text without words: empty set, linked with nothing, own
 component. Fewer words than the shingle length: one shingle of all words. Repeated rows: equal sets,
@@ -20,16 +26,18 @@ the least of a component that has an id. Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from factloom.llm.common import cut, drop_cut, map_rows, pick
+from factloom.llm.common import cut, drop_cut, map_rows, pick, squeezed, unsqueezed
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -38,10 +46,11 @@ LOW32 = np.uint64(0xFFFFFFFF)
 
 @dataclass(frozen=True)
 class NearDupParams:
-    """words: shingle length; percent: least 100 * likeness; bands * rows coordinates in a sketch.
+    """words: shingle length; percent: least 100 * likeness; bands * rows coordinates in a sketch, at most 64 bands.
 
     slack: a pair whose share of equal sketch coordinates is below percent/100 - slack isn't
-    verified (5.2 standard deviations at 252 coordinates and a likeness of 0.8).
+    verified (5.2 standard deviations at 252 coordinates and a likeness of 0.8). block: members of a
+    group that one task holds.
     """
 
     words: int = 5
@@ -49,7 +58,7 @@ class NearDupParams:
     bands: int = 42
     rows: int = 6
     slack: float = 0.13
-    block: int = 2048
+    block: int = 320
 
     @property
     def t(self) -> int:
@@ -110,55 +119,85 @@ def sketch(elements: np.ndarray, t: int) -> np.ndarray:
     return mix64(out)
 
 
+LONGS = lambda *names: [T.StructField(c, T.LongType()) for c in names]
+LINK = T.StructType(LONGS("a", "b"))
+
+
 def features(docs: DataFrame, p: NearDupParams) -> DataFrame:
-    """Per row: id, th (hash of the text), n, cid (digest of the set, null if empty), keys, sk."""
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("th", T.LongType()), T.StructField("n", T.LongType()), T.StructField("cid", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("sk", T.BinaryType())])
+    """Per row: at (its own number), id, th (hash of the text), n, cid (digest of the set, null if empty).
+
+    The first row of a class in a task also has sk (the sketch, a byte a coordinate) and z (its text, compressed).
+    """
+    schema = T.StructType([*LONGS("at", "id", "th", "n"), T.StructField("cid", T.BinaryType()), T.StructField("sk", T.BinaryType()), T.StructField("z", T.BinaryType())])
 
     def run(slices):
-        cache = WordHashes()
+        cache, seen, at = WordHashes(), set(), TaskContext.get().partitionId() << 33
         for rows in slices:
             out = []
             for r in rows:
                 s = shingle_set(r["text"], p.words, cache)
-                if not len(s):
-                    out.append((r["id"], r["th"], 0, None, None, None))
-                    continue
-                v = sketch(s, p.t)
-                keys = np.arange(1, p.bands + 1, dtype=np.uint64) * GOLD
-                for col in v.reshape(p.bands, p.rows).T:
-                    keys = mix64(keys + col)
-                out.append((r["id"], r["th"], len(s), xxhash.xxh3_128_digest(s.tobytes()), keys.view(np.int64).tolist(), v.astype(np.uint8).tobytes()))
+                cid = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
+                lead = cid is not None and cid not in seen
+                if lead:
+                    if len(seen) > 200_000:
+                        seen.clear()
+                    seen.add(cid)
+                out.append((at, r["id"], r["th"], len(s), cid, sketch(s, p.t).astype(np.uint8).tobytes() if lead else None, squeezed(r["text"]) if lead else None))
+                at += 1
             yield out
 
     return map_rows(docs.withColumn("th", F.xxhash64(F.coalesce("text", F.lit("")))), run, schema)
 
 
-def _verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, p: NearDupParams) -> DataFrame:
-    """The pairs (a, b) of class digests whose whole sets reach the threshold."""
-    ends = pairs.select(F.col("a").alias("cid")).distinct().union(pairs.select("b").distinct()).distinct()
-    needed = nodes.join(ends, "cid", "left_semi").select("cid", F.col("rep.id").alias("rid"), F.col("rep.th").alias("rth"))
-    hashed = docs.withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
-    texts = hashed.join(needed, F.col("id").eqNullSafe(F.col("rid")) & (F.col("th") == F.col("rth"))).dropDuplicates(["cid"]).select("cid", "text")
-    texts = cut(texts, "neardup-texts")
-    both = pairs.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a")), "a")
-    schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+def keys(p: NearDupParams) -> Column:
+    """The band keys of column sk: hashes whose low 6 bits are the band's number."""
+    band = lambda k: F.xxhash64(F.lit(k), F.substring("sk", k * p.rows + 1, p.rows))
+    return F.explode(F.array(*[F.shiftleft(band(k), 6).bitwiseOR(F.lit(k)) for k in range(p.bands)])).alias("key")
+
+
+def reaches(x: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each of the others whether its likeness to x, on whole sets, is at least percent."""
+    sizes = np.array([len(o) for o in others])
+    every = np.concatenate(others)
+    hits = x[np.minimum(np.searchsorted(x, every), len(x) - 1)] == every
+    inter = np.add.reduceat(hits.astype(np.int64), np.r_[0, np.cumsum(sizes)[:-1]])
+    return 100 * inter >= percent * (len(x) + sizes - inter)
+
+
+def grouped(slices, names: tuple[str, ...]) -> Iterator[list[dict]]:
+    """The rows of each run of equal values of names."""
+    held: list[dict] = []
+    for rows in slices:
+        for r in rows:
+            if held and any(r[c] != held[0][c] for c in names):
+                yield held
+                held = []
+            held.append(r)
+    if held:
+        yield held
+
+
+def verify_stars(star: DataFrame, texts: DataFrame, p: NearDupParams) -> DataFrame:
+    """The pairs (a, b) of star, a centre and a member, whose whole sets reach the threshold."""
+    many = star.groupBy("a").agg(F.count("*").alias("m")).where(F.col("m") > p.block).select("a", F.ceil(F.col("m") / p.block).alias("nb"))
+    dealt = star.join(many, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("nb", F.lit(1))).alias("blk"))
+    centres = dealt.select("a", "blk").distinct().select(F.col("a").alias("v"), "a", "blk", F.lit(0).alias("member"))
+    both = centres.unionByName(dealt.select(F.col("b").alias("v"), "a", "blk", F.lit(1).alias("member")))
+    ordered = texts.join(both.hint("merge"), "v").repartition("a", "blk").sortWithinPartitions("a", "blk", "member")
 
     def run(slices):
-        cache, last = WordHashes(), (None, None)
+        cache, centre = WordHashes(), None
         for rows in slices:
             out = []
             for r in rows:
-                if last[0] != r["a"]:
-                    last = (r["a"], shingle_set(r["text_a"], p.words, cache))
-                x, y = last[1], shingle_set(r["text_b"], p.words, cache)
-                inter = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * inter >= p.percent * (len(x) + len(y) - inter):
-                    out.append((r["a"], r["b"]))
+                mine = shingle_set(unsqueezed(r["z"]), p.words, cache)
+                if not r["member"]:
+                    centre = mine
+                elif reaches(centre, [mine], p.percent)[0]:
+                    out.append((r["a"], r["v"]))
             yield out
 
-    links = cut(map_rows(both.select("a", "b", "text_a", "text_b"), run, schema), "neardup-links")
-    drop_cut(texts)
-    return links
+    return map_rows(ordered, run, LINK)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -208,72 +247,122 @@ def extended(labels: DataFrame, more: DataFrame) -> DataFrame:
     return cut(old.unionByName(joined.join(labels, "v", "left_anti")), "cc-labels")
 
 
-def _near(p: NearDupParams):
-    """Column test of two sketches' sizes; the set sizes alone rule most false candidates out."""
-    return (F.col("n") * 100 >= F.col("m") * p.percent) & (F.col("m") * 100 >= F.col("n") * p.percent)
-
+def dealt_blocks(rows: DataFrame, p: NearDupParams) -> DataFrame:
+    """rows (key, v, comp) of keys with several components, dealt: with blk and each pair of blocks (i, j) to meet in.
 
-def _block_pairs(rows: DataFrame, p: NearDupParams, top: int | None) -> DataFrame:
-    """Pairs of different components in a key whose sketches come near the threshold.
-
-    rows: key, cid, comp, n, sk, keys. A key with more than p.block members is dealt out as pairs of
-    blocks, each compared by one bounded group. A pair is found in the first key that its members
-    share, once. With top, a member proposes its best few only: a round that joins most of what can be
-    joined before all remaining pairs are taken.
+    A small key is one block. In others the largest component's members and the rest have blocks of their own, and
+    no two blocks of the largest component meet.
+    """
+    per = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    size = per.groupBy("key").agg(F.sum("c").alias("m"), F.max("c").alias("most"), F.max_by("comp", "c").alias("large")).where("m > most")
+    blocks = lambda n: F.ceil(n / F.lit(p.block)).cast("int")
+    own, rest = blocks(F.col("most")), blocks(F.col("m") - F.col("most"))
+    small = F.col("m") <= p.block
+    size = size.select("key", "large", F.when(small, 0).otherwise(own).alias("nl"), F.when(small, 1).otherwise(rest).alias("no"))
+    within = F.col("nl") == 0
+    main = ~within & (F.col("comp") == F.col("large"))
+    blk = F.when(main, F.col("no") + F.pmod(F.xxhash64("v"), F.greatest("nl", F.lit(1)))).otherwise(F.pmod(F.xxhash64("v"), F.col("no"))).cast("int")
+    # the main component's blocks meet the others' only; those meet all
+    upto = F.when(main, F.col("no")).otherwise(F.col("no") + F.col("nl")) - 1
+    out = rows.join(size, "key").withColumn("blk", blk).withColumn("o", F.explode(F.sequence(F.lit(0), upto)))
+    return out.select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "v", "comp")
+
+
+class Candidates:
+    """The candidate pairs of a group: rows of one key and pair of blocks.
+
+    A pair is one of different components whose sizes and sketches allow the threshold; it belongs to the first
+    band that the two share, so it is found once.
     """
-    sizes = rows.groupBy("key").agg(F.count("*").alias("members"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-    nb = F.ceil(F.col("members") / p.block).cast("int")
-    dealt = rows.join(sizes.select("key", nb.alias("nb")), "key").withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1))
-    dealt = dealt.withColumn("o", other).select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "cid", "comp", "n", "sk", "keys")
-    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
-    least = int(np.ceil((p.percent / 100 - p.slack) * p.t))
-
-    def found(group: list[dict]) -> list[tuple]:
+
+    def __init__(self, group: list[dict], p: NearDupParams):
         i, j = group[0]["i"], group[0]["j"]
-        left = [r for r in group if r["blk"] == i]
-        right = left if i == j else [r for r in group if r["blk"] == j]
-        if not left or not right:
-            return []
+        self.left = [k for k, r in enumerate(group) if r["blk"] == i]
+        self.right = np.array(self.left if i == j else [k for k, r in enumerate(group) if r["blk"] == j], np.int64)
+        self.same_block, self.p, self.band = i == j, p, group[0]["key"] & 63
         ids = {c: k for k, c in enumerate({r["comp"] for r in group})}
-        sk = np.frombuffer(b"".join(r["sk"] for r in right), np.uint8).reshape(len(right), p.t)
-        keys = np.array([r["keys"] for r in right])
-        n, comp = np.array([r["n"] for r in right]), np.array([ids[r["comp"]] for r in right])
-        out = []
-        for at, r in enumerate(left):
-            ok = (comp != ids[r["comp"]]) & (n * 100 >= r["n"] * p.percent) & (r["n"] * 100 >= n * p.percent)
-            if i == j:
-                ok[: at + 1] = False
-            near = np.flatnonzero(ok)
+        self.comp = np.array([ids[r["comp"]] for r in group])
+        self.n = np.array([r["n"] for r in group])
+        self.sk = np.frombuffer(b"".join(r["sk"] for r in group), np.uint8).reshape(len(group), p.t)
+        self.least = int(np.ceil((p.percent / 100 - p.slack) * p.t))
+
+    def __iter__(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(row, its partners, likeliest first)."""
+        p = self.p
+        for at, k in enumerate(self.left):
+            near = self.right[at + 1 :] if self.same_block else self.right
+            n = self.n[near]
+            near = near[(self.comp[near] != self.comp[k]) & (n * 100 >= self.n[k] * p.percent) & (self.n[k] * 100 >= n * p.percent)]
+            if len(near):
+                equal = self.sk[near] == self.sk[k]
+                same = equal.sum(1)
+                ok = same >= self.least
+                near, same, equal = near[ok], same[ok], equal[ok]
             if len(near):
-                same = (sk[near] == np.frombuffer(r["sk"], np.uint8)).sum(1)
-                near, same = near[same >= least], same[same >= least]
+                first = equal.reshape(len(near), p.bands, p.rows).all(2).argmax(1) == self.band
+                near, same = near[first], same[first]
             if len(near):
-                mine = np.array(r["keys"])
-                here = mine[(keys[near] == mine).argmax(1)] == r["key"]
-                near, same = near[here], same[here]
-                if top:
-                    near = near[np.argsort(-same, kind="stable")[:top]]
-                for q in near:
-                    a, b = r["cid"], right[q]["cid"]
-                    out.append((min(a, b), max(a, b)))
-        return out
+                yield k, near[np.argsort(-same, kind="stable")]
+
+
+def with_candidates(dealt: DataFrame, nodes: DataFrame, p: NearDupParams) -> DataFrame:
+    """The dealt rows that have a candidate in their group, with n and sk."""
+    rows = dealt.join(nodes.select("v", "n", "sk"), "v").select("key", "i", "j", "blk", "v", "comp", "n", "sk")
+    schema = T.StructType(rows.schema.fields)
+    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def run(slices):
-        held: list[dict] = []
-        for rows_ in slices:
+        for group in grouped(slices, ("key", "i", "j")):
+            needed = np.zeros(len(group), bool)
+            for k, near in Candidates(group, p):
+                needed[k] = True
+                needed[near] = True
+            yield [tuple(group[k].values()) for k in np.flatnonzero(needed)]
+
+    return map_rows(rows, run, schema)
+
+
+def verify_blocks(needed: DataFrame, texts: DataFrame, p: NearDupParams) -> DataFrame:
+    """Links between components among the candidates of each group: enough to join all that are linked in it."""
+    rows = texts.join(needed.hint("merge"), "v").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def run(slices):
+        cache = WordHashes()
+        for group in grouped(slices, ("key", "i", "j")):
+            found = Candidates(group, p)
+            sets: dict[int, np.ndarray] = {}
+            parent = list(range(len(group)))
+
+            def root(c: int) -> int:
+                while parent[c] != c:
+                    parent[c] = parent[parent[c]]
+                    c = parent[c]
+                return c
+
+            def of(k: int) -> np.ndarray:
+                if k not in sets:
+                    sets[k] = shingle_set(unsqueezed(group[k]["z"]), p.words, cache)
+                return sets[k]
+
             out = []
-            for r in rows_:
-                if held and (r["key"], r["i"], r["j"]) != (held[0]["key"], held[0]["i"], held[0]["j"]):
-                    out += found(held)
-                    held = []
-                held.append(r)
+            for k, near in found:
+                at = 0
+                while at < len(near):
+                    mine = root(found.comp[k])
+                    some = []
+                    while at < len(near) and len(some) < 16:
+                        if root(found.comp[near[at]]) != mine:
+                            some.append(near[at])
+                        at += 1
+                    if some:
+                        for q, linked in zip(some, reaches(of(k), [of(q) for q in some], p.percent), strict=True):
+                            a, b = root(found.comp[k]), root(found.comp[q])
+                            if linked and a != b:
+                                parent[b] = a
+                                out.append((group[k]["v"], group[q]["v"]))
             yield out
-        if held:
-            yield found(held)
 
-    return map_rows(dealt, run, schema)
+    return map_rows(rows, run, LINK)
 
 
 def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,36 +370,34 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams(), id
     p = params
     docs = pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
     feats = cut(features(docs, p), "neardup-features")
-    # one node for each distinct set, whatever the number of copies
-    nodes = cut(feats.where("n > 0").groupBy("cid").agg(F.coalesce(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "th"))), F.min(F.struct("id", "th"))).alias("rep"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys"), F.any_value("sk").alias("sk")), "neardup-nodes")
-    keyed = nodes.select("cid", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
-    members = cut(keyed.join(shared, "key", "left_semi"), "neardup-members")
-    # the centre of a key is its member with the most shared keys
-    degree = members.groupBy("cid").agg(F.count("*").alias("deg"))
-    centre = members.join(degree, "cid").groupBy("key").agg(F.max(F.struct("deg", "cid")).alias("c")).select("key", F.col("c.cid").alias("a"))
-    light = nodes.select("cid", "n")
-    star = members.join(centre, "key").where("cid <> a").groupBy("a", F.col("cid").alias("b")).agg(F.count("*").alias("hits"))
-    star = star.groupBy("b").agg(F.max(F.struct("hits", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-    star = cut(star.join(light.select(F.col("cid").alias("b"), "n"), "b").join(light.select(F.col("cid").alias("a"), F.col("n").alias("m")), "a").where(_near(p)).select("a", "b"), "neardup-star")
-    labels = components(_verify(star, nodes, docs, p))
-    # what is left: keys that still hold several components, first each member's best candidates, then all
-    light = nodes.select("cid", "n", "sk", "keys")
-    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    for top in (3, None):
-        of = labels.withColumnRenamed("v", "cid")
-        rows = members.join(light, "cid").join(of, "cid", "left").withColumn("comp", F.coalesce("label", "cid")).select("key", "cid", "comp", "n", "sk", "keys")
-        rest = cut(_block_pairs(rows, p, top).join(tried, ["a", "b"], "left_anti"), "neardup-rest")
-        if rest.isEmpty():
-            continue
-        labels = extended(labels, _verify(rest, nodes, docs, p))
-        tried = tried.unionByName(rest)
-    firsts = nodes.select("cid", F.col("rep.id").alias("first"))
-    linked = firsts.join(labels.withColumnRenamed("v", "cid"), "cid")
-    least = linked.groupBy("label").agg(F.min("first").alias("component"))
-    linked = linked.join(least, "label").select("cid", "component")
-    of = firsts.join(linked, "cid", "left").select("cid", F.coalesce("component", "first").alias("component"))
-    out = feats.select("id", "n", "cid", "th").join(of, "cid", "left").withColumn("component", F.coalesce("component", "id"))
+    # one node for each distinct set, whatever the number of copies; v is the number of a row with its text
+    nodes = cut(feats.where("n > 0").groupBy("cid").agg(F.min(F.when(F.col("sk").isNotNull(), F.col("at"))).alias("v"), F.min("id").alias("first"), F.count("*").alias("copies"), F.any_value("n").alias("n"), F.any_value("sk", F.lit(True)).alias("sk")), "neardup-nodes")
+    texts = feats.where("sk is not null").select(F.col("at").alias("v"), "z")
+    keyed = nodes.select("v", keys(p))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("members"), F.min("v").alias("a")).where("members > 1").select("key", "a")
+    star = keyed.join(shared, "key").where("v <> a").select("a", F.col("v").alias("b")).repartition("b")
+    star = cut(star.groupBy("b", "a").agg(F.count("*").alias("hits")).groupBy("b").agg(F.max_by("a", "hits").alias("a")).select("a", "b"), "neardup-star")
+    links = cut(verify_stars(star, texts, p), "neardup-links")
+    labels = components(links)
+    drop_cut(star)
+    # what is left: keys that still hold several components
+    placed = nodes.join(labels, "v", "left").select("v", F.coalesce("label", "v").alias("comp"), "sk").select("v", "comp", keys(p))
+    mixed = placed.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
+    rest = cut(placed.join(mixed, "key").select("key", "v", "comp"), "neardup-rest")
+    if not rest.isEmpty():
+        more = cut(verify_blocks(with_candidates(dealt_blocks(rest, p), nodes, p), texts, p), "neardup-links")
+        labels = extended(labels, more)
+        drop_cut(more)
+    drop_cut(rest)
+    drop_cut(links)
+    classes = nodes.join(labels, "v", "left").where("label is not null or copies > 1").select("cid", "first", "label")
+    least = cut(classes.where("label is not null").groupBy("label").agg(F.min("first").alias("least")), "neardup-least")
+    of = cut(classes.join(least, "label", "left").select("cid", F.coalesce("least", "first").alias("component")), "neardup-classes")
+    drop_cut(nodes)
+    drop_cut(least)
+    own = feats.select("id", "th", "n", "cid")
+    out = own.where("cid is not null").join(of, "cid", "left").select("id", "th", "n", F.coalesce("component", "id").alias("component"))
+    out = out.unionByName(own.where("cid is null").select("id", "th", "n", F.col("id").alias("component")))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"), F.col("th").alias("text_hash"))
 
 
