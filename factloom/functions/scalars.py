@@ -178,7 +178,7 @@ def retry_after_seconds(header: Column | str, now: Column) -> Column:
     h = F.trim(_c(header))
     until = F.when(h.rlike("^[A-Z][a-z]{2}, "), F.try_to_timestamp(F.substring(h, 6, 20), F.lit("dd MMM yyyy HH:mm:ss")))
     value = F.coalesce(F.when(h.rlike(r"^\d{1,9}$"), h).try_cast("long"), F.unix_timestamp(until) - F.unix_timestamp(now))
-    return F.greatest(F.lit(0), F.least(F.lit(86_400), value))
+    return F.when(value.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(86_400), value)))
 
 
 def normalize_statement(text: Column | str) -> Column:

@@ -12,6 +12,16 @@ def within_rows(df: DataFrame, most: int) -> DataFrame:
     return df.where(F.assert_true(n <= most, F.lit(f"more than {most} rows")).isNull())
 
 
+def read_counts(df: DataFrame, scope: list[str], raw: str, ids: list[str], most_rows: int, most_bytes: int) -> DataFrame:
+    """Per scope: n_rows, bytes (of the encoded rows), merged_rows (distinct ids) and whether rows and bytes fit the budget.
+
+    One pass that combines before the shuffle; a scope that doesn't fit is told, never cut.
+    """
+    per_id = df.groupBy(*scope, *ids).agg(F.count("*").alias("n"), F.sum(F.octet_length(raw)).alias("b"))
+    out = per_id.groupBy(*scope).agg(F.sum("n").alias("n_rows"), F.sum("b").alias("bytes"), F.count("*").alias("merged_rows"))
+    return out.withColumn("fits", (F.col("n_rows") <= most_rows) & (F.col("bytes") <= most_bytes))
+
+
 def refuse_groups(df: DataFrame, key: list[str], most: int) -> tuple[DataFrame, DataFrame]:
     """(rows of groups within the budget, refused keys with their sizes): a group is refused whole."""
     sizes = df.groupBy(*key).agg(F.count("*").alias("size"))

@@ -17,7 +17,7 @@ def numbered(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """
     rows = cut(df.repartitionByRange(*group, *order).withColumn("__range", F.spark_partition_id()), "ranges")
     counts = rows.groupBy(*group, "__range").agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(W.partitionBy(*group).orderBy("__range").rowsBetween(W.unboundedPreceding, -1))
+    before = F.sum("__n").over(W.partitionBy(*(group or [F.lit(0)])).orderBy("__range").rowsBetween(W.unboundedPreceding, -1))
     starts = counts.select(*[F.col(g).alias(f"__{g}") for g in group], F.col("__range").alias("__at"), F.coalesce(before, F.lit(0)).alias("__start"))
     same = F.col("__range") == F.col("__at")
     for g in group:

@@ -173,7 +173,9 @@ def html_links(spark, sf):
     return parsers.links(load(spark, sf, "pages"), "page_id", "html")
 
 
-@query(r"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g')) AS text FROM pages""")
+@query(r"""
+WITH t AS (SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g')) AS text FROM pages)
+SELECT page_id, replace(replace(replace(replace(replace(replace(text, '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS text FROM t""")
 def html_text(spark, sf):
     return parsers.stripped(load(spark, sf, "pages"), "page_id", "html")
 

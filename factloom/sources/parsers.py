@@ -5,8 +5,11 @@ from __future__ import annotations
 import csv
 import io
 import re
+from html import unescape as html_references
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,10 +20,19 @@ def links(pages: DataFrame, id_col: str, html: str) -> DataFrame:
     return pages.select(id_col, F.explode(F.regexp_extract_all(html, F.lit('<a [^>]*href="([^"]*)"'), F.lit(1))).alias("href"))
 
 
+def unescaped(text: Column) -> Column:
+    """Character references decoded, numeric and named; SQL functions have no table of the names."""
+
+    def decode(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: html_references(t) if t is not None and "&" in t else t)
+
+    return F.pandas_udf(decode, T.StringType())(text)
+
+
 def stripped(pages: DataFrame, id_col: str, html: str) -> DataFrame:
-    """Text without scripts, styles and tags, white space collapsed."""
+    """Text without scripts, styles and tags, character references decoded, white space collapsed."""
     bare = F.regexp_replace(F.regexp_replace(html, "(?is)<(script|style)[^>]*>.*?</(script|style)>", " "), "<[^>]*>", " ")
-    return pages.select(id_col, F.trim(F.regexp_replace(bare, r"[ \t\r\n]+", " ")).alias("text"))
+    return pages.select(id_col, unescaped(F.trim(F.regexp_replace(bare, r"[ \t\r\n]+", " "))).alias("text"))
 
 
 def delimited(texts: DataFrame, id_col: str, text: str, separator: str) -> DataFrame:
@@ -43,8 +55,6 @@ def result_rows(texts: DataFrame, id_col: str, text: str) -> DataFrame:
 
     A header line starts with Event and a number; rows below belong to it until the next header.
     """
-    from pyspark.sql import Window as W
-
     lines = texts.select(id_col, F.posexplode(F.split(text, "\n")).alias("at", "line"))
     header = F.regexp_extract("line", r"^Event +(\d+) +(.+?) *$", 2)
     run = W.partitionBy(id_col).orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -56,24 +66,109 @@ def result_rows(texts: DataFrame, id_col: str, text: str) -> DataFrame:
     return rows.select(id_col, "event", "at", part(1).try_cast("int").alias("place"), S.flip_last_first(part(2)).alias("name"), part(3).cast("int").alias("grade"), part(4).alias("school"), part(5).alias("mark"), S.parse_clock_ns(mark).alias("ns"), S.parse_feet_um(mark).alias("um"), S.timing_suffix(part(5)).alias("timing"), S.result_status(part(5)).alias("status"), part(6).try_cast("double").alias("wind"))
 
 
-def side_by_side(texts: DataFrame, id_col: str, text: str, anchors: list[int]) -> DataFrame:
-    """Blocks printed beside each other: cut each line at the anchors' character offsets."""
-    ends = [*anchors[1:], 1_000_000]
-    cells = F.array(*[F.trim(F.substring("line", a + 1, b - a)) for a, b in zip(anchors, ends, strict=True)])
-    lines = texts.select(id_col, F.posexplode(F.split(text, "\n")).alias("at", "line"))
-    return lines.select(id_col, "at", F.posexplode(cells).alias("block", "cell")).where("cell <> ''")
+def side_by_side(texts: DataFrame, id_col: str, text: str, anchors: list[int] | None = None) -> DataFrame:
+    """Blocks printed beside each other: cut each line at the anchors' character offsets, the last one to its end.
+
+    Without anchors, those of a text are where the labels of its first line begin (two spaces or more apart).
+    """
+    lines = texts.select(id_col, F.col(text).alias("body"), F.posexplode(F.split(text, "\n")).alias("at", "line"))
+    if anchors is None:
+        labels = F.regexp_extract_all(F.split("body", "\n")[0], F.lit(r"(\S(?:.*?\S)??)(?: {2,}|$)"), F.lit(0))
+        widths = F.transform(labels, lambda x: F.length(x))
+        starts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.aggregate(F.slice(widths, 1, i - 1), F.lit(0), lambda a, b: a + b))
+    else:
+        starts = F.array(*map(F.lit, anchors))
+    block = F.posexplode(F.arrays_zip(starts.alias("a"), F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.lit(None).cast("int"))).alias("b")))
+    cells = lines.select(id_col, "at", "line", block.alias("block", "s"))
+    cell = F.trim(F.substring("line", F.col("s")["a"] + 1, F.coalesce(F.col("s")["b"], F.length("line")) - F.col("s")["a"]))
+    return cells.select(id_col, "at", "block", cell.alias("cell")).where("cell <> ''")
+
+
+def form_pages(texts: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Texts of printed documents by page, which form feeds part."""
+    return texts.select(id_col, F.posexplode(F.split(text, "\f")).alias("page", "text"))
+
+
+def tidy(cell: Column) -> Column:
+    return F.trim(F.regexp_replace(F.regexp_replace(cell, "<[^>]*>", " "), r"\s+", " "))
 
 
 def html_tables(pages: DataFrame, id_col: str, html: str) -> DataFrame:
-    """Every table's rows as maps of header label to cell, by column labels rather than positions."""
-    tables = pages.select(id_col, F.posexplode(F.regexp_extract_all(html, F.lit("(?is)<table[^>]*>(.*?)</table>"), F.lit(1))).alias("table_no", "body"))
-    rows = tables.select(id_col, "table_no", F.posexplode(F.regexp_extract_all("body", F.lit("(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))).alias("row_no", "row"))
-    tidy = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]*>", " "), r"\s+", " "))
-    cells = rows.select(id_col, "table_no", "row_no", F.transform(F.regexp_extract_all("row", F.lit("(?is)<t[hd][^>]*>(.*?)</t[hd]>"), F.lit(1)), tidy).alias("cells"))
-    heads = cells.where("row_no = 0").select(id_col, "table_no", F.transform("cells", lambda c: F.lower(c)).alias("heads"))
-    body = cells.where("row_no > 0").join(heads, [id_col, "table_no"])
+    """Every table's rows as maps of header label to cell, by column labels rather than positions.
+
+    A table's header is its first row with th cells, else its first row; rows before it are titles. heading is the
+    last h2 or h3 before the table, the section that it belongs to.
+    """
+    part = F.posexplode(F.regexp_extract_all(html, F.lit("(?is)<h[23][^>]*>.*?</h[23]>|<table[^>]*>.*?</table>"), F.lit(0)))
+    parts = pages.select(id_col, part.alias("table_no", "body"))
+    is_table = F.lower(F.substring("body", 1, 6)) == "<table"
+    before = W.partitionBy(id_col).orderBy("table_no").rowsBetween(W.unboundedPreceding, -1)
+    tables = parts.withColumn("heading", F.last(F.when(~is_table, tidy(F.col("body"))), ignorenulls=True).over(before)).where(is_table)
+    rows = tables.select(id_col, "table_no", "heading", F.regexp_extract_all("body", F.lit("(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1)).alias("rows"))
+    titled = F.array_position(F.transform("rows", lambda r: r.rlike("(?i)<th[ >]")), True).cast("int")
+    rows = rows.withColumn("top", F.when(titled > 0, titled).otherwise(1)).where(F.size("rows") > 0)
+    cells = lambda r: F.transform(F.regexp_extract_all(r, F.lit("(?is)<t[hd][^>]*>(.*?)</t[hd]>"), F.lit(1)), tidy)
+    rows = rows.withColumn("heads", F.transform(cells(F.element_at("rows", F.col("top"))), lambda c: F.lower(c)))
+    body = rows.select(id_col, "table_no", "heading", "top", "heads", F.posexplode("rows").alias("row_no", "row")).where("row_no >= top")
+    body = body.withColumn("cells", cells(F.col("row")))
     width = F.least(F.size("heads"), F.size("cells"))
-    return body.select(id_col, "table_no", "row_no", F.map_from_entries(F.arrays_zip(F.slice("heads", 1, width), F.slice("cells", 1, width))).alias("fields"))
+    return body.select(id_col, "table_no", "heading", "row_no", F.map_from_entries(F.arrays_zip(F.slice("heads", 1, width), F.slice("cells", 1, width))).alias("fields"))
+
+
+def script_json(pages: DataFrame, id_col: str, html: str, element: str, schema: str) -> DataFrame:
+    """The JSON that a page holds in its script element of that id, parsed under the schema; null where it is absent or broken."""
+    body = F.regexp_extract(html, f"(?is)<script[^>]*id=[\"']{element}[\"'][^>]*>(.*?)</script>", 1)
+    return pages.select(id_col, F.from_json(F.nullif(body, F.lit("")), schema).alias("data"))
+
+
+def index_links(pages: DataFrame, id_col: str, html: str, path: str) -> DataFrame:
+    """An index page's entries: the number in each link under the path, and the link's text."""
+    link = f"(?is)<a [^>]*href=\"[^\"]*{path}/[0-9]+[^\"]*\"[^>]*>.*?</a>"
+    found = pages.select(id_col, F.explode(F.regexp_extract_all(html, F.lit(link), F.lit(0))).alias("a"))
+    return found.select(id_col, F.regexp_extract("a", f"{path}/([0-9]+)", 1).cast("long").alias("entry"), unescaped(tidy(F.col("a"))).alias("name")).distinct()
+
+
+def directory_entries(texts: DataFrame, id_col: str, text: str) -> DataFrame:
+    """A directory's search answer, a JSON array of schools: entry, name, full_name, city; reject tells why one isn't usable."""
+    schema = "array<struct<id:bigint,name:string,full_name:string,address:struct<city:string>>>"
+    rows = texts.select(id_col, F.explode(F.from_json(text, schema)).alias("r"))
+    reject = F.when(F.col("r.id").isNull(), "missing school id").when(F.col("r.name").isNull(), "missing school name")
+    return rows.select(id_col, F.col("r.id").cast("string").alias("entry"), "r.name", "r.full_name", F.col("r.address.city").alias("city"), reject.alias("reject"))
+
+
+def directory_profile(pages: DataFrame, id_col: str, html: str, card: str) -> DataFrame:
+    """A school's profile page: its heading and address, and a row for each card (an element of class card): sport, name, role, mail."""
+    whole = pages.select(id_col, tidy(F.regexp_extract(html, "(?is)<h2[^>]*>(.*?)</h2>", 1)).alias("school"), tidy(F.regexp_extract(html, "(?is)<address[^>]*>(.*?)</address>", 1)).alias("address"), F.explode_outer(F.regexp_extract_all(html, F.lit(f"(?is)<div class=\"{card}\">(.*?)</div>"), F.lit(1))).alias("c"))
+    field = lambda tag: tidy(F.regexp_extract("c", f"(?is)<{tag}[^>]*>(.*?)</{tag}>", 1))
+    mail = F.nullif(F.regexp_extract("c", "(?i)mailto:([^\"'?]+)", 1), F.lit(""))
+    return whole.select(id_col, "school", "address", field("h4").alias("sport"), field("strong").alias("name"), field("em").alias("role"), mail.alias("mail"))
+
+
+def text_kind(text: Column) -> Column:
+    """What a fetched result file holds: json, html, hytek (event headers), table (delimited) or unknown."""
+    t = F.trim(text)
+    return F.when(t.rlike(r"^[\[{]"), "json").when(t.rlike("(?i)<(html|table|body)[ >]"), "html").when(t.rlike(r"(?m)^ *Event +\d+ "), "hytek").when(t.rlike(r"(?m)^[^\n]*(,|\t)[^\n]*(,|\t)"), "table").otherwise("unknown")
+
+
+def queue_head(states: DataFrame, item: str, order: str, now: str, most: int) -> DataFrame:
+    """A work queue from its log of states (item, order, state, due): what is to be done now.
+
+    The last state of an item counts: pending, or failed and due again, unless it has failed `most` times.
+    """
+    last = states.groupBy(item).agg(F.max_by(F.struct("state", "due"), order).alias("l"), F.count_if(F.col("state") == "failed").alias("failures"))
+    ready = (F.col("l.state") == "pending") | (F.col("l.state") == "failed") & (F.col("l.due") <= F.lit(now).cast("timestamp"))
+    status = F.when(F.col("l.state") == "done", "done").when(F.col("failures") >= most, "given_up").when(ready, "ready").otherwise("waiting")
+    return last.select(item, status.alias("status"), "failures")
+
+
+def within_json_budget(text: Column, depth: int, nodes: int) -> Column:
+    """Whether a JSON text nests at most so deep and holds at most so many values; strings count as one, whatever is in them."""
+    bare = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*"', '"')
+    marks = F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), "")
+    step = lambda a, c: F.struct((a["now"] + F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0)).alias("now"), F.greatest(a["top"], a["now"] + F.when(c.isin("[", "{"), 1).otherwise(0)).alias("top"))
+    top = F.aggregate(marks, F.struct(F.lit(0).alias("now"), F.lit(0).alias("top")), step)["top"]
+    values = F.regexp_count(bare, F.lit(r"[\[{]")) + F.regexp_count(F.regexp_replace(bare, r'"\s*:', ""), F.lit(r'"|-?[0-9][0-9.eE+-]*|true|false|null'))
+    return (top <= depth) & (values <= nodes)
 
 
 def sparql_bindings(texts: DataFrame, id_col: str, text: str, names: list[str]) -> DataFrame:
@@ -97,8 +192,6 @@ def csv_texts(texts: DataFrame, id_col: str, text: str, schema: T.StructType) ->
     out = T.StructType([texts.schema[id_col], *schema.fields])
 
     def run(frames):
-        import pandas as pd
-
         for frame in frames:
             rows = []
             for key, body in zip(frame[id_col], frame[text], strict=True):

@@ -69,6 +69,29 @@ class Store:
     def read(self, table: str, generation: int | None = None) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{table}/generation={generation or self.generation(table)}")
 
+    def freeze(self, table: str, df: DataFrame, order: list[str], rows: int) -> int:
+        """The table in chunks of `rows` rows in order, each with its count and digest in a manifest; returns the chunks."""
+        path = f"{self.root}/{table}/frozen"
+        chunk = F.floor((F.col("rank") - 1) / rows).cast("long")
+        numbered(df, [], order).withColumn("chunk", chunk).drop("rank").repartition("chunk").write.partitionBy("chunk").parquet(path)
+        self._digests(self.spark.read.parquet(path), df.columns).write.parquet(f"{path}-manifest")
+        return self.spark.read.parquet(f"{path}-manifest").count()
+
+    def _digests(self, df: DataFrame, columns: list[str]) -> DataFrame:
+        h = F.sum(F.xxhash64(F.struct(*sorted(columns))).cast("decimal(38,0)"))
+        return df.groupBy(F.col("chunk").cast("long").alias("chunk")).agg(F.count("*").alias("n"), h.alias("digest"))
+
+    def visit(self, table: str, first: int, last: int) -> DataFrame:
+        """The rows of the chunks first to last, after each has been held against the manifest."""
+        path = f"{self.root}/{table}/frozen"
+        inside = F.col("chunk").between(first, last)
+        rows = self.spark.read.parquet(path).where(inside)
+        told = self.spark.read.parquet(f"{path}-manifest").where(inside)
+        now = self._digests(rows, [c for c in rows.columns if c != "chunk"])
+        if not told.exceptAll(now).isEmpty() or not now.exceptAll(told).isEmpty():
+            raise ValueError(f"a chunk of {table} isn't what was frozen")
+        return rows.withColumn("chunk", F.col("chunk").cast("long"))
+
     def inspect(self) -> list[tuple[str, int, int]]:
         """(table, current generation, rows) of every derived table; counts come from Parquet footers."""
         found = sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(self.root)) if s.isDirectory())
