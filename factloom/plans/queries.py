@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factloom.plans import adapters, entities, extras, joins, merges, reduction, reports, scalars_catalogue, streams  # noqa: F401
+from factloom.plans import adapters, entities, extras, joins, merges, reduction, reports, rules, scalars_catalogue, streams  # noqa: F401
 from factloom.plans.registry import QUERIES, Query
 
 

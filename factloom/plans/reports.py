@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from factloom.operators import guards
 from factloom.plans.registry import query
-from factloom.sources.tables import day, load
+from factloom.sources.tables import day, load, money
 
 
 def _placed(spark, sf):
@@ -40,21 +40,83 @@ def activity_breakdown(spark, sf):
     return u.groupBy(kind.alias("kind")).agg(F.count("*").alias("users"))
 
 
-GAPS = {"no_orders": "NOT coalesce(has_orders, false)", "no_urgent": "NOT coalesce(has_urgent, false)", "in_debt": "c_acctbal < 0", "no_segment": "c_mktsegment IS NULL"}
+GAPS = {
+    "no_orders": "coalesce(n, 0) = 0",
+    "no_urgent": "coalesce(urgent, 0) = 0",
+    "no_high": "coalesce(high, 0) = 0",
+    "only_pending": "n > 0 AND pending = n",
+    "no_finished": "n > 0 AND finished = 0",
+    "stale": "last < TIMESTAMP '2000-01-01 00:00:00'",
+    "single_order": "n = 1",
+    "low_total": "total < 100000",
+    "in_debt": "c_acctbal < 0",
+    "no_segment": "c_mktsegment IS NULL",
+    "no_balance": "c_acctbal IS NULL",
+}
 
 
 @query(f"""
-WITH o AS (SELECT o_custkey, true AS has_orders, bool_or(o_orderpriority = '1-URGENT') AS has_urgent FROM orders GROUP BY 1),
+WITH o AS (SELECT o_custkey, count(*) AS n, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS urgent, count(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS high, count(*) FILTER (WHERE o_orderstatus = 'P') AS pending, count(*) FILTER (WHERE o_orderstatus = 'F') AS finished, max(o_orderdate) AS last, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total FROM orders GROUP BY 1),
 w AS (SELECT n_name, {', '.join(f'count(*) FILTER (WHERE {g}) AS {k}' for k, g in GAPS.items())} FROM {PLACED} LEFT JOIN o ON c_custkey = o_custkey GROUP BY 1)
 SELECT n_name, gap, n FROM w UNPIVOT (n FOR gap IN ({', '.join(GAPS)})) WHERE n > 0""")
 def gap_report(spark, sf):
-    """Gap classes by nation as rows; zero rows are left out."""
-    o = load(spark, sf, "orders").groupBy("o_custkey").agg(F.lit(True).alias("has_orders"), F.bool_or(F.col("o_orderpriority") == "1-URGENT").alias("has_urgent"))
+    """Eleven gap classes by nation as rows; zero rows are left out."""
+    is_ = lambda c, v: F.count_if(F.col(c) == v)
+    o = load(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"), is_("o_orderpriority", "1-URGENT").alias("urgent"), is_("o_orderpriority", "2-HIGH").alias("high"), is_("o_orderstatus", "P").alias("pending"), is_("o_orderstatus", "F").alias("finished"), F.max("o_orderdate").alias("last"), F.sum(money("o_totalprice")).alias("total"))
     rows = _placed(spark, sf).join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
     wide = rows.groupBy("n_name").agg(*[F.count_if(F.expr(g)).alias(k) for k, g in GAPS.items()])
     return wide.unpivot("n_name", list(GAPS), "gap", "n").where("n > 0")
 
 
+STAGES = {
+    "registered": "true",
+    "timed": "ts IS NOT NULL",
+    "named": "ts IS NOT NULL AND user_id IS NOT NULL",
+    "typed": "ts IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NULL",
+    "attempted": "event_type <> 'error'",
+    "valued": "event_type <> 'error' AND value IS NOT NULL",
+    "captured": "event_type IN ('click', 'purchase') AND value IS NOT NULL",
+    "accepted": "event_type = 'purchase' AND value IS NOT NULL",
+    "weighty": "event_type = 'purchase' AND value >= 5",
+    "settled": "event_type = 'purchase' AND value >= 10",
+}
+
+
+@query(f"""
+WITH f AS (SELECT user_id, {', '.join(f'count(*) FILTER (WHERE {c}) AS {k}' for k, c in STAGES.items())} FROM events GROUP BY 1)
+SELECT *, {' AND '.join(f'{a} >= {b}' for a, b in zip(STAGES, list(STAGES)[1:], strict=False))} AS monotone FROM f""")
+def contact_funnel(spark, sf):
+    """A funnel of ten counters a subject, each at most the one before."""
+    e = load(spark, sf, "events").groupBy("user_id").agg(*[F.count_if(F.expr(c)).alias(k) for k, c in STAGES.items()])
+    return guards.monotone(e, list(STAGES))
+
+
+CENSUS = {
+    **{f"status_{s.lower()}": f"o_orderstatus = '{s}'" for s in "FOP"},
+    **{f"priority_{p[0]}": f"o_orderpriority = '{p}'" for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")},
+    **{f"year_{y}": f"year(o_orderdate) = {y}" for y in range(1995, 2002)},
+    **{f"price_from_{n}k": f"o_totalprice >= {n}000" for n in (50, 100, 200, 300)},
+    **{f"segment_{s.lower()}": f"c_mktsegment = '{s}'" for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")},
+    "in_debt": "c_acctbal < 0",
+    "in_credit": "c_acctbal >= 0",
+    "urgent_open": "o_orderpriority = '1-URGENT' AND o_orderstatus <> 'F'",
+    "no_price": "o_totalprice IS NULL",
+    "no_date": "o_orderdate IS NULL",
+    "no_order": "o_orderkey IS NULL",
+}
+
+
+@query(f"""
+SELECT coalesce(n_name, 'TOTAL') AS place, count(*) AS n_rows, {', '.join(f'count(*) FILTER (WHERE {c}) AS {k}' for k, c in CENSUS.items())}
+FROM {PLACED} LEFT JOIN orders ON c_custkey = o_custkey GROUP BY ROLLUP (n_name)""")
+def wide_census(spark, sf):
+    """A state census: thirty conditional counters a nation and their total row, in one aggregate."""
+    o = load(spark, sf, "orders")
+    rows = _placed(spark, sf).join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
+    out = rows.rollup("n_name").agg(F.count("*").alias("n_rows"), *[F.count_if(F.expr(c)).alias(k) for k, c in CENSUS.items()])
+    return out.withColumn("place", F.coalesce("n_name", F.lit("TOTAL"))).drop("n_name")
+
+
 @query("""
 WITH f AS (SELECT user_id, count(*) AS registered, count(*) FILTER (WHERE event_type <> 'error') AS attempted, count(*) FILTER (WHERE event_type IN ('click', 'purchase')) AS captured, count(*) FILTER (WHERE event_type = 'purchase') AS accepted FROM events GROUP BY 1)
 SELECT *, registered >= attempted AND attempted >= captured AND captured >= accepted AS monotone FROM f""")
