@@ -1,20 +1,28 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree. DataFrame only.
 
-Every source is dealt into blocks by a hash of the document id; a source's quota is its whole
-blocks, once for each full pass that the target needs, and for the last, partial pass permuted
-blocks until the target is met, of which the last one is taken in part, document by document.
-The block quotas then go down a binary tree: each node deals a uniformly random half of its
-blocks to either child, so the counts by source follow the multivariate hypergeometric law, blocks
-stay disjoint and quotas exact. A leaf is an output shard; documents are shuffled inside it by a
-hash key.
+Every source is dealt into blocks by a hash of its documents. A source's quota is all its blocks, once for each full
+pass that the target needs, and, for the last, partial pass, permuted blocks as long as they fit. What
+is then still missing is drawn in further rounds from documents that fit it, again in permuted groups whose
+size falls from round to round, and at last in single documents: the largest that fits, again and again, and the
+one that comes nearest to the rest. The blocks' quotas
+go down a binary tree: each node deals a uniformly random half of its blocks to either child, so the
+counts by source follow the multivariate hypergeometric law, blocks stay disjoint and quotas exact. A leaf
+is an output shard; documents are shuffled inside it by a hash key.
+
+The tree's draws are read off one random permutation of all quota blocks: a node holds a run of it, and its
+children the halves of that run, which is the same law as drawing anew at each node.
 
 Targets: a source's share of all sizes follows its weight; a target stops at max_repeat times the
-source's size and the excess is shared anew by weight (water filling, solved in closed form).
+source's size and the excess is shared anew by weight until none is above.
+
+Scale: documents meet only small tables (a row a source, a row for each block of a source) and are never gathered by
+source. A window holds at most one source's blocks, a hash group of the permutation, or a row for each range of a
+sort. Which documents a round draws is told by one number a source (the end of its permuted groups), so
+no list of documents is kept. Decisions depend on ids and texts alone, not on where a row lies.
 
-The tree and the sources' table are small: about `blocks` rows plus one a source, for each pass.
-Documents are only joined by (source, salt) and by (source, block), both even for a hot source.
 Defined cases: null text: size 0, taken never; null source: a source of its own, last in order;
-repeated rows: each is a document; empty table: empty result; extra columns are ignored.
+null id: told apart by its text; repeated rows (equal id, text and source): drawn together; all sizes 0: targets 0,
+nothing taken; empty table: empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,20 +33,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from factloom.llm.common import cut, pick
+from factloom.llm.common import cut, drop_cut, pick
 
+KEY = ["skey", "snull"]
+#: Parts that a source's rows are dealt into where they meet its one row.
 SALTS = 16
 
 
 @dataclass(frozen=True)
 class MixParams:
     """weights repeat over the sources in code point order; there are 2 ** depth shards, and a task
-    writes about shard_words words of one."""
+    writes about shard_words words of one. blocks: of each source, and groups of each further round; singles:
+    documents that are chosen one by one at the end."""
 
     weights: tuple[int, ...] = (1, 2, 3)
     max_repeat: int = 3
     depth: int = 4
-    blocks: int = 2048
+    blocks: int = 256
+    rounds: int = 4
+    singles: int = 3
     shard_words: int = 2_000_000
     seed: int = 17
 
@@ -48,121 +61,181 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """Per row: row, id, th (hash of the text), skey and snull (the source), size, salt."""
+def sized(docs: DataFrame, p: MixParams, *more: Column) -> DataFrame:
+    """Per row: id, th (hash of the text), skey and snull (the source), size, salt, and whatever more holds. docs: id, text, source."""
     return docs.select(
-        F.monotonically_increasing_id().alias("row"),
         F.col("id").cast("long").alias("id"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
         F.coalesce("source", F.lit("")).alias("skey"),
         F.col("source").isNull().alias("snull"),
         words(F.col("text")).alias("size"),
-    ).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+        *more,
+    ).withColumn("salt", F.pmod(F.xxhash64("id", "th"), F.lit(SALTS)).cast("int"))
+
+
+def of_source(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """rows with the columns of their source's one row; a hot source meets copies of it."""
+    return rows.join(state.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*KEY, "salt"]).drop("salt")
+
+
+def group(p: MixParams, r: int) -> Column:
+    """The group that a document is in in round r; round 0 are the blocks."""
+    return F.pmod(F.xxhash64(F.lit(p.seed + 31 * r), "id", "th"), F.lit(p.blocks))
+
+
+def permuted(p: MixParams, r: int, of: Column) -> Column:
+    """The place of a group in its source's permutation of round r."""
+    return F.xxhash64(F.lit(p.seed + 31 * r + 7), "skey", "snull", of)
+
+
+def ranked(df: DataFrame, *order: str) -> DataFrame:
+    """df with rank, from 0, in the order of the columns: ranges are counted, then each ranks its own rows."""
+    parts = cut(df.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "mix-ranges")
+    before = F.sum("n").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1))
+    starts = parts.groupBy("range").agg(F.count("*").alias("n")).select("range", F.coalesce(before, F.lit(0)).alias("start"))
+    return parts.join(starts, "range").withColumn("rank", F.col("start") + F.row_number().over(W.partitionBy("range").orderBy(*order)) - 1).drop("range", "start")
 
 
 def targets(rows: DataFrame, p: MixParams) -> DataFrame:
-    """Per source: source_size, docs, target and the number of its blocks."""
-    src = rows.groupBy("skey", "snull").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
-    order = W.orderBy("snull", "skey")
-    weight = F.element_at(F.array(*map(F.lit, p.weights)), ((F.row_number().over(order) - 1) % len(p.weights) + 1).cast("int"))
-    src = src.withColumn("rank", F.row_number().over(order)).withColumn("weight", weight.cast("double"))
-    src = src.withColumn("cap", F.col("source_size").cast("double") * p.max_repeat)
-    ascending = W.orderBy(F.col("cap") / F.col("weight"), "rank")
-    before = ascending.rowsBetween(W.unboundedPreceding, -1)
-    every = W.partitionBy(F.lit(0))
-    total, weights = F.sum(F.col("source_size").cast("double")).over(every), F.sum("weight").over(every)
-    left = total - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
-    share = left / (weights - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    src = src.withColumn("at", F.row_number().over(ascending)).withColumn("level", share).withColumn("all", total)
-    src = src.withColumn("capped", F.col("cap") <= F.col("weight") * F.col("level"))
-    level = F.min(F.when(~F.col("capped"), F.struct("at", "level"))).over(every)["level"]
-    target = F.when(F.col("capped"), F.col("cap")).otherwise(F.col("weight") * level)
-    n = F.greatest(F.lit(1), F.least(F.col("docs"), F.ceil(F.try_divide(F.col("source_size") * F.lit(float(p.blocks)), F.col("all")))))
-    return src.select("skey", "snull", "source_size", target.alias("target"), F.coalesce(n, F.lit(1)).cast("long").alias("blocks"))
-
-
-def quotas(blocks: DataFrame, p: MixParams) -> DataFrame:
-    """Per (source, block): base (full passes), last (drawn in the partial pass), rest (words wanted of it).
-
-    blocks: skey, snull, block, words, source_size, target. A block that is drawn only in part has rest below
-    its words; one that is not drawn has last false.
+    """Per source: source_size and target."""
+    src = ranked(rows.groupBy(*KEY).agg(F.sum("size").alias("source_size")), "snull", "skey")
+    weight = F.element_at(F.array(*map(F.lit, p.weights)), (F.col("rank") % len(p.weights) + 1).cast("int"))
+    src = cut(src.select(*KEY, "source_size", weight.cast("long").alias("weight")), "mix-sources")
+    cap = F.col("source_size") * p.max_repeat
+    total, weights = src.agg(F.sum("source_size"), F.sum("weight")).first()
+    # whole sums of those below the level and above it; each round puts more of them at their cap
+    over, level = (0, 0), 0.0
+    while total and over[1] < weights:
+        level = (total - over[0]) / (weights - over[1])
+        now = src.where(cap <= F.col("weight") * F.lit(level)).agg(F.coalesce(F.sum(cap), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+        if tuple(now) == over:
+            break
+        over = tuple(now)
+    return src.select(*KEY, "source_size", F.least(cap.cast("double"), F.col("weight") * F.lit(float(level))).alias("target"))
+
+
+def draws_of_round(p: MixParams, r: int) -> Column:
+    """Whether round r takes a document, by its source's gap and last place in that round."""
+    return (F.col("size") > 0) & (F.col("size") <= F.col(f"gap{r}")) & (permuted(p, r, group(p, r)) <= F.col(f"last{r}"))
+
+
+def drawn(p: MixParams, rounds: int) -> Column:
+    """Whether one of the first rounds of the partial pass takes a document."""
+    out = F.lit(False)
+    for r in range(rounds):
+        out = out | F.coalesce(draws_of_round(p, r), F.lit(False))
+    return out
+
+
+def number(p: MixParams) -> Column:
+    """A document's own number in the choice of single ones."""
+    return F.xxhash64(F.lit(p.seed + 99), "id", "th")
+
+
+def extra(p: MixParams, singles: int) -> Column:
+    """Whether the partial pass takes a document, by its rounds and the first so many singles."""
+    out = drawn(p, p.rounds)
+    for k in range(singles):
+        out = out | F.coalesce(F.col(f"single{k}") == number(p), F.lit(False))
+    return out
+
+
+def partial_pass(rows: DataFrame, src: DataFrame, p: MixParams) -> DataFrame:
+    """src with base (full passes) and, for the partial one, gap and last of each round and the single documents' numbers.
+
+    Each round takes groups in permuted order as long as they fit what is missing; only documents that fit count.
     """
     base = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(p.max_repeat))).otherwise(0).cast("long")
-    permuted = W.partitionBy("skey", "snull").orderBy(F.xxhash64(F.lit(p.seed), "skey", "block"), "block").rowsBetween(W.unboundedPreceding, -1)
-    out = blocks.withColumn("base", base).withColumn("part", F.col("target") - F.col("base") * F.col("source_size"))
-    rest = F.col("part") - F.coalesce(F.sum("words").over(permuted), F.lit(0))
-    return out.withColumn("rest", rest).withColumn("last", F.col("rest") > 0).drop("part")
+    state = src.withColumn("base", base).withColumn("gap0", F.col("target") - F.col("base") * F.col("source_size"))
+    state = cut(state, "mix-state")
+    for r in range(p.rounds):
+        left = of_source(rows, state).where((F.col("size") > 0) & (F.col("size") <= F.col(f"gap{r}")) & ~drawn(p, r))
+        groups = left.withColumn("g", group(p, r)).groupBy(*KEY, "g").agg(F.sum("size").alias("words"), F.any_value(f"gap{r}").alias("gap"))
+        groups = groups.withColumn("at", permuted(p, r, F.col("g")))
+        upto = F.sum("words").over(W.partitionBy(*KEY).orderBy("at").rangeBetween(W.unboundedPreceding, W.currentRow))
+        taken = groups.withColumn("upto", upto).where("upto <= gap").groupBy(*KEY).agg(F.max("at").alias(f"last{r}"), F.max("upto").alias("taken"))
+        new = cut(state.join(taken, KEY, "left").withColumn(f"gap{r + 1}", F.col(f"gap{r}") - F.coalesce("taken", F.lit(0))).drop("taken"), "mix-state")
+        drop_cut(state)
+        state = new
+    state = state.withColumn("gap", F.col(f"gap{p.rounds}"))
+    for k in range(p.singles):
+        off = F.abs(F.col("size") - F.col("gap"))
+        fits = F.col("size") <= F.col("gap") if k < p.singles - 1 else off < F.col("gap")
+        one = F.min(F.struct(off.alias("off"), number(p).alias(f"single{k}"), "size"))
+        best = of_source(rows, state).where((F.col("size") > 0) & fits & ~extra(p, k)).groupBy(*KEY).agg(one.alias("one")).select(*KEY, f"one.single{k}", F.col("one.size").alias("taken"))
+        new = cut(state.join(best, KEY, "left").withColumn("gap", F.col("gap") - F.coalesce("taken", F.lit(0))).drop("taken"), "mix-state")
+        state = new
+    return state
 
 
 def split(tokens: DataFrame, p: MixParams) -> DataFrame:
-    """The tree: tokens (skey, snull, block, pass) with the leaf (shard) each of them reaches."""
-    out = tokens.withColumn("node", F.lit(1).cast("long"))
-    for level in range(p.depth):
-        drawn = W.partitionBy("node").orderBy(F.xxhash64(F.lit(p.seed + 1 + level), "skey", "snull", "block", "pass"), "skey", "snull", "block", "pass")
-        # the odd block goes to a side that the node's own number decides
-        half = F.floor((F.count("*").over(W.partitionBy("node")) + F.pmod(F.xxhash64(F.lit(p.seed), "node"), F.lit(2))) / 2)
-        out = out.withColumn("node", F.col("node") * 2 + (F.row_number().over(drawn) > half).cast("long"))
-    return out.withColumn("shard", (F.col("node") - 2**p.depth).cast("int")).drop("node")
+    """The tree: tokens (skey, snull, block, pass) with the leaf (shard) each of them reaches.
+
+    A node's run of the permutation is lo..hi; its left child has the first half, and an odd token goes to the side
+    that the node's own number decides.
+    """
+    out = ranked(tokens.withColumn("draw", F.xxhash64(F.lit(p.seed + 1), "skey", "snull", "block", "pass")), "draw", "skey", "snull", "block", "pass")
+    out = out.withColumns({"lo": F.lit(0).cast("long"), "hi": F.lit(out.count()).cast("long"), "node": F.lit(1).cast("long")})
+    for _ in range(p.depth):
+        odd = F.pmod(F.xxhash64(F.lit(p.seed), "node"), F.lit(2))
+        middle = F.col("lo") + F.floor((F.col("hi") - F.col("lo") + odd) / 2)
+        right = F.col("rank") >= middle
+        out = out.withColumns({"node": F.col("node") * 2 + right.cast("long"), "lo": F.when(right, middle).otherwise(F.col("lo")), "hi": F.when(right, F.col("hi")).otherwise(middle)})
+    return out.withColumn("shard", (F.col("node") - 2**p.depth).cast("int")).select("skey", "snull", "block", "pass", "shard")
+
+
+def plan(rows: DataFrame, p: MixParams) -> tuple[DataFrame, DataFrame]:
+    """(a row a source: source_size, target and the partial pass; a row a block: leaves, its passes with their shards)."""
+    src = cut(targets(rows, p), "mix-targets")
+    state = partial_pass(rows, src, p)
+    known = of_source(rows, state).withColumn("extra", extra(p, p.singles))
+    quota = known.groupBy(*KEY, group(p, 0).alias("block")).agg(F.any_value("base").alias("base"), F.max("extra").alias("extra"))
+    passes = F.col("base") + F.col("extra").cast("long")
+    tokens = quota.where(passes > 0).select(*KEY, "block", F.explode(F.sequence(F.lit(0).cast("long"), passes - 1)).alias("pass"))
+    leaves = split(tokens, p).groupBy(*KEY, "block").agg(F.array_sort(F.collect_list(F.struct("pass", "shard"))).alias("leaves"))
+    return state, cut(leaves, "mix-leaves")
+
+
+def placed(rows: DataFrame, state: DataFrame, leaves: DataFrame, p: MixParams) -> DataFrame:
+    """rows with source_size, target and draws (array of pass, shard, place), by joins with the two small tables."""
+    out = of_source(rows, state).withColumn("block", group(p, 0))
+    out = out.withColumn("extra", extra(p, p.singles)).join(leaves, [*KEY, "block"], "left")
+    place = lambda d: F.struct(d["pass"].alias("pass"), d["shard"].alias("shard"), F.xxhash64(F.lit(p.seed), d["shard"], d["pass"], "id", "th").alias("place"))
+    kept = F.filter("leaves", lambda d: (F.col("size") > 0) & ((d["pass"] < F.col("base")) | F.col("extra")))
+    none = F.array().cast("array<struct<pass:bigint,shard:int,place:bigint>>")
+    return out.withColumn("draws", F.coalesce(F.transform(kept, place), none))
 
 
 def mix(docs: DataFrame, params: MixParams = MixParams(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Per input row: doc_id, source, size, source_size, target, draws (array of pass, shard, place), text_hash.
+    """Per input row: doc_id, source, size, source_size, target, draws (array of pass, shard, place).
 
     The mixture is the exploded draws; place orders a shard's documents.
     """
-    p = params
-    rows = cut(sizes(pick(docs, id=id_col, text=text_col, source=source_col)), "mix-sizes")
-    src = cut(targets(rows, p), "mix-targets")
-    salted = src.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    dealt = rows.join(salted, ["skey", "snull", "salt"]).withColumn("block", F.pmod(F.xxhash64(F.lit(p.seed), "id"), F.col("blocks")))
-    dealt = dealt.select("row", "id", "th", "skey", "snull", "size", "source_size", "target", "block")
-    per_block = dealt.groupBy("skey", "snull", "block").agg(F.sum("size").alias("words"), F.any_value("source_size").alias("source_size"), F.any_value("target").alias("target"))
-    quota = cut(quotas(per_block, p), "mix-quotas")
-    passes = F.when(F.col("base") + F.col("last").cast("long") > 0, F.sequence(F.lit(0).cast("long"), F.col("base") + F.col("last").cast("long") - 1))
-    tokens = quota.select("skey", "snull", "block", F.explode(passes).alias("pass"))
-    leaves = split(tokens, p).groupBy("skey", "snull", "block").agg(F.array_sort(F.collect_list(F.struct("pass", "shard"))).alias("leaves"))
-    plan = quota.select("skey", "snull", "block", "words", "base", "last", "rest").join(leaves, ["skey", "snull", "block"], "left")
-    out = dealt.join(plan, ["skey", "snull", "block"])
-    # the block that the partial pass takes in part: documents in permuted order while they fit, then
-    # the one document that comes nearest to what is left
-    mine = W.partitionBy("skey", "snull", "block")
-    run = mine.orderBy(F.xxhash64(F.lit(p.seed + 99), "id"), "id", "row").rowsBetween(W.unboundedPreceding, W.currentRow)
-    out = out.withColumn("fits", F.sum("size").over(run) <= F.col("rest"))
-    gap = F.col("rest") - F.coalesce(F.max(F.when(F.col("fits"), F.col("upto"))).over(mine), F.lit(0))
-    out = out.withColumn("upto", F.sum("size").over(run)).withColumn("gap", gap)
-    off = F.abs(F.col("size") - F.col("gap"))
-    filler = F.min(F.when(~F.col("fits") & (off < F.col("gap")), F.struct(off.alias("off"), "row"))).over(mine)["row"]
-    extra = F.col("last") & ((F.col("words") <= F.col("rest")) | F.col("fits") | F.coalesce(filler == F.col("row"), F.lit(False)))
-    place = lambda d: F.struct(d["pass"].alias("pass"), d["shard"].alias("shard"), F.xxhash64(F.lit(p.seed), d["shard"], d["pass"], "id").alias("place"))
-    out = out.withColumn("extra", extra)
-    kept = F.filter("leaves", lambda d: (F.col("size") > 0) & ((d["pass"] < F.col("base")) | F.col("extra")))
-    none = F.array().cast("array<struct<pass:bigint,shard:int,place:bigint>>")
-    return out.select(F.col("row"), F.col("id").alias("doc_id"), F.when(~F.col("snull"), F.col("skey")).alias("source"), "size", "source_size", "target", F.coalesce(F.transform(kept, place), none).alias("draws"), F.col("th").alias("text_hash"))
+    rows = cut(sized(pick(docs, id=id_col, text=text_col, source=source_col), params), "mix-sizes")
+    out = placed(rows, *plan(rows, params), params)
+    return out.select(F.col("id").alias("doc_id"), F.when(~F.col("snull"), F.col("skey")).alias("source"), "size", "source_size", "target", "draws")
 
 
 def digest(mixed: DataFrame) -> DataFrame:
-    """The contract's columns."""
-    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
+    """The contract's columns, the words counted over the draws, and where each draw goes."""
+    text = F.array_join(F.transform("draws", lambda d: F.concat_ws(":", d["pass"].cast("string"), d["shard"].cast("string"), d["place"].cast("string"))), ",")
+    taken = F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + F.col("size"))
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), text.alias("draws"))
 
 
 def mixture(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """documents as the mixture takes them: a row for each draw, shards together, shuffled inside.
 
     A shard beyond shard_words goes out in parts by its random order, so a task's share of the output
-    doesn't grow with the corpus. Rows that repeat doc_id, text and source share the draws of all of them.
+    doesn't grow with the corpus. Columns unchanged; a row travels as one struct, so its names can't clash.
     """
     columns, p = docs.columns, params
-    key = ["id", "inull", "th", "skey", "snull"]
-    id_ = F.col("doc_id").cast("long")
-    known = [F.coalesce(id_, F.lit(0)).alias("id"), id_.isNull().alias("inull"), F.coalesce("source", F.lit("")).alias("skey"), F.col("source").isNull().alias("snull")]
-    doc = F.struct(*columns)
-    th = F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")
-    one = docs.select(doc.alias("doc"), F.xxhash64(doc).alias("copy"), th, *known).groupBy(*key).agg(F.min_by("doc", "copy").alias("doc"))
-    drawn = cut(mix(docs, p).where(F.size("draws") > 0), "mix-draws")
-    total = drawn.agg(F.coalesce(F.sum(F.col("size") * F.size("draws")), F.lit(0))).first()[0]
-    parts = max(1, -(-total // (2**p.depth * p.shard_words)))
-    times = drawn.select(F.col("text_hash").alias("th"), *known, "draws").groupBy(*key).agg(F.flatten(F.collect_list("draws")).alias("draws"))
-    out = one.join(times, key).select("doc", F.explode("draws").alias("d"))
+    named = docs.select(F.col("doc_id").alias("id"), "text", "source", F.struct(*columns).alias("doc"))
+    rows = cut(sized(named, p), "mix-sizes")
+    state, leaves = plan(rows, p)
+    wanted = state.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
+    parts = max(1, -(-int(wanted) // (2**p.depth * p.shard_words)))
+    out = placed(sized(named, p, F.col("doc")), state, leaves, p).select("doc", F.explode("draws").alias("d"))
     out = out.select("doc", F.col("d")["shard"].alias("shard"), F.pmod(F.col("d")["place"], F.lit(parts)).alias("part"), F.col("d")["place"].alias("place"))
     out = out.repartition("shard", "part").sortWithinPartitions("shard", "part", "place")
     return out.select(*[F.col("doc")[c].alias(c) for c in columns])
