@@ -18,7 +18,6 @@ Long texts: whole, cut into full pieces after a possibly shorter first one. Extr
 from __future__ import annotations
 
 import base64
-import functools
 import json
 import re
 import zlib
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from factloom.llm.common import cut, map_rows, pick
+from factloom.llm.common import cut, kept_by_process, map_rows, pick
 
 #: The split pattern of the public byte-level vocabulary, a fixed value.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -39,9 +38,12 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 RUN = re.compile(r"\s (?:\s|$)")
 
 
-@functools.cache
 def encoder(path: str):
     """The vocabulary file's byte-level BPE, with ids as merge ranks."""
+    return kept_by_process(("encoder", path), lambda: build_encoder(path))
+
+
+def build_encoder(path: str):
     import tiktoken
 
     vocab = json.load(open(path, encoding="utf-8"))["model"]["vocab"]
@@ -51,15 +53,13 @@ def encoder(path: str):
     return tiktoken.Encoding("byte_bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
-@functools.cache
 def whole(path: str):
     """The tokenizers file itself, for texts that contain one of its added tokens."""
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+    return kept_by_process(("tokenizer", path), lambda: Tokenizer.from_file(path))
 
 
-@functools.cache
 def added_tokens(path: str) -> tuple[str, ...]:
     return tuple(t["content"] for t in json.load(open(path, encoding="utf-8"))["added_tokens"])
 
@@ -69,7 +69,7 @@ class WordIds(dict):
 
     def __init__(self, path: str):
         self.path = path
-        self.added = added_tokens(path)
+        self.added = kept_by_process(("added", path), lambda: added_tokens(path))
         self.encode = encoder(path).encode_ordinary
 
     def __missing__(self, word: str) -> bytes:
