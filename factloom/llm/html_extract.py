@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 
 from factloom.llm.common import map_rows, pick
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|([^<]+|<)", re.DOTALL)
+#: A comment, CDATA, another declaration, a tag (slash, name, attributes) or text. A quote counts only after an equals sign.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)(?:>|\Z)|([^<]++|<)""", re.DOTALL)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 # Element names by their role in the HTML standard.
@@ -30,8 +31,16 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp plaintext".split())
 BLOCK = frozenset("address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 DROPPED = frozenset("head script style noscript template svg math nav menu header footer aside form button input select option textarea label fieldset iframe object embed canvas audio video dialog title".split())
+#: Dropped containers that may be a wrapper of the page: a form around all, or one that was never closed.
+WRAPPERS = frozenset("form fieldset nav menu header footer aside".split())
 CLOSES_P = BLOCK - {"br", "html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
-IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+P_SCOPE = ("table", "button", "object", "td", "th", "caption")
+CELLS = ("td", "th", "caption")
+TABLE = frozenset("table tbody thead tfoot tr td th caption".split())
+#: What a start tag ends: by name, the elements that go, in order, up to the nearest of the second group.
+IMPLIED = {"li": (("li",), ("ul", "ol", "menu", "dir")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("td", "th", "tr"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select",))}
+#: Inline elements that a slash at the tag's end doesn't close.
+INLINE = frozenset("a b i em strong span".split())
 ROLES = frozenset("navigation banner complementary contentinfo search menu menubar dialog alert alertdialog form".split())
 #: Words of class or id names that mark boilerplate, matched as whole name parts.
 MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside footer header masthead banner cookie cookies consent gdpr notice notices popup modal overlay comment comments commentlist disqus reply replies respond discussion share sharing social related recommended newsletter subscribe subscription signup login search toolbar pagination pager widget widgets skip copyright legal disclaimer".split())
@@ -46,11 +55,14 @@ GOOD = frozenset("article main content post entry story body text".split())
 
 
 class Node:
-    __slots__ = ("bad", "commas", "good", "kids", "links", "length", "mark", "name", "names", "parent", "score", "words")
+    __slots__ = ("bad", "block", "closed", "depth", "good", "kids", "length", "links", "mark", "name", "names", "parent", "prose", "score", "words")
 
     def __init__(self, name: str, parent: Node | None, attributes: str = ""):
         self.name, self.parent, self.kids = name, parent, []
-        self.score, self.length, self.links, self.commas = 0.0, 0, 0, 0
+        self.score, self.length, self.links, self.prose = 0.0, 0, 0, 0
+        self.depth = parent.depth + 1 if parent else 0
+        #: block: depth of the nearest block that holds its content; closed: whether an end tag closed it.
+        self.block, self.closed = self.depth if parent is None or name in BLOCK else parent.block, False
         self.words: set[str] = set()
         self.bad = name in DROPPED
         #: mark: how its names mark it ("", "loose": in a longer name, "plain", "sure"); good: a name of GOOD words only.
@@ -80,58 +92,81 @@ class Node:
                 self.mark = max(self.mark, kind, key=("", "loose", "plain", "sure").index)
 
 
-def parse(page: str) -> Node:
-    """The element tree; text nodes are strings."""
-    root = Node("#root", None)
-    at, node, size = 0, root, len(page)
+class Open:
+    """The open elements: the innermost, and a stack for each name, so that no step walks the tree."""
+
+    def __init__(self, root: Node):
+        self.node = root
+        self.by_name: dict[str, list[Node]] = {}
+
+    def push(self, child: Node) -> None:
+        self.node = child
+        self.by_name.setdefault(child.name, []).append(child)
+
+    def nearest(self, names) -> Node | None:
+        found = [self.by_name[n][-1] for n in names if self.by_name.get(n)]
+        return max(found, key=lambda x: x.depth, default=None)
+
+    def pop(self, upto: Node) -> None:
+        """End upto and all that is open in it."""
+        while self.node.depth >= upto.depth:
+            self.by_name[self.node.name].pop()
+            self.node = self.node.parent
+
+    def close(self, names, scope=()) -> None:
+        """End the nearest open element of names unless one of scope holds it off."""
+        x, stop = self.nearest(names), self.nearest(scope)
+        if x is not None and (stop is None or x.depth > stop.depth):
+            self.pop(x)
+
+    def end(self, name: str) -> bool:
+        """An end tag: it closes no block as an inline one, and nothing outside a table's cell but the table's own."""
+        x = self.nearest((name,))
+        if x is None or name not in BLOCK and x.depth <= self.node.block:
+            return False
+        cell = self.nearest(CELLS) if name not in TABLE else None
+        if cell is not None and x.depth < cell.depth:
+            return True
+        x.closed = True
+        self.pop(x)
+        return True
 
-    def close(names: set[str] | frozenset[str], stop: set[str] | frozenset[str]) -> Node:
-        """The parent of the outermost open element of names, up to an element of stop."""
-        found, x = node, node
-        while x.parent is not None and x.name not in stop:
-            if x.name in names:
-                found = x.parent
-            x = x.parent
-        return found
 
+def parse(page: str) -> Node:
+    """The element tree; text nodes are strings. Time is linear in the page's length."""
+    root = Node("#root", None)
+    at, size, open_ = 0, len(page), Open(root)
     while at < size:
         m = TOKEN.match(page, at)
-        if m is None:
-            node.kids.append(page[at])
-            at += 1
-            continue
         at = m.end()
         if m[4] is not None:
-            node.kids.append(m[4])
+            open_.node.kids.append(m[4])
         elif m[2] is not None:
             name = m[2].lower()
             if m[1]:
-                x = node
-                while x.parent is not None and x.name != name:
-                    x = x.parent
-                if x.parent is not None:
-                    node = x.parent
-                elif name in ("p", "br"):
-                    node.kids.append(Node("br", node))
+                if not open_.end(name) and name in ("p", "br"):
+                    open_.node.kids.append(Node("br", open_.node))
                 continue
             if name in CLOSES_P:
-                node = close({"p"}, {"table", "button", "object", "td", "th"})
+                open_.close(("p",), P_SCOPE)
             if name in IMPLIED:
-                node = close(*IMPLIED[name])
-            child = Node(name, node, m[3])
-            node.kids.append(child)
+                names, scope = IMPLIED[name]
+                for one in names:
+                    open_.close((one,), scope)
+            if name in ("article", "main"):
+                # no menu or form that is still open holds the article: its end tag is missing, or it wraps the page
+                while (x := open_.nearest(WRAPPERS)) is not None and x.bad and ((up := open_.nearest(("article", "main"))) is None or up.depth < x.depth):
+                    open_.pop(x)
+            child = Node(name, open_.node, m[3])
+            open_.node.kids.append(child)
             if name in RAW:
                 end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
                 child.kids.append(page[at : end.start() if end else size])
                 at = end.end() if end else size
-            elif name not in VOID and not m[3].rstrip().endswith("/"):
-                node = child
-            elif name not in VOID and name not in BLOCK | {"a", "b", "i", "em", "strong", "span"}:
-                continue
-            elif name not in VOID:
-                node = child
+            elif name not in VOID and (not m[3].rstrip().endswith("/") or name in BLOCK or name in INLINE):
+                open_.push(child)
         elif m[0].startswith("<![CDATA["):
-            node.kids.append(m[0][9:].removesuffix("]]>"))
+            open_.node.kids.append(m[0][9:].removesuffix("]]>"))
     return root
 
 
@@ -147,37 +182,59 @@ def own_text(node: Node) -> str:
     return " ".join(html.unescape("".join(out)).split())
 
 
-def walk(root: Node):
-    """Elements outside boilerplate, parents first."""
+def walk(root: Node, through: frozenset[str] = frozenset()):
+    """Elements outside boilerplate, parents first; dropped elements of the names in through count as well."""
     todo = [root]
     while todo:
         x = todo.pop()
-        if not x.bad:
+        if not x.bad or x.name in through:
             yield x
             todo += [k for k in x.kids if not isinstance(k, str)]
 
 
-def prose(node: Node) -> int:
-    """Characters of the node's blocks that read like text: 25 or more, few of them in links."""
-    total, todo = 0, [node]
-    while todo:
-        x = todo.pop()
-        if x.bad:
-            continue
-        length = links = 0
-        inline: list = [(k, x.name == "a") for k in x.kids]
-        while inline:
-            k, link = inline.pop()
-            if isinstance(k, str):
-                n = len(" ".join(k.split()))
-                length, links = length + n, links + n * link
-            elif k.name in BLOCK:
-                todo.append(k)
-            elif not k.bad:
-                inline += [(j, link or k.name == "a") for j in k.kids]
-        if length >= 25 and links < 0.25 * length:
-            total += length
-    return total
+def weigh_prose(every: list[Node]) -> None:
+    """Set each element's prose: characters of its blocks that read like text, 25 or more, few of them in links."""
+    own: dict[int, list[int]] = {}
+    unit: dict[int, Node] = {}
+    linked: set[int] = set()
+    for x in every:
+        up = x.parent
+        unit[id(x)] = x if up is None or x.name in BLOCK else unit[id(up)]
+        if x.name == "a" or x.name not in BLOCK and up is not None and id(up) in linked:
+            linked.add(id(x))
+        n = sum(len(" ".join(k.split())) for k in x.kids if isinstance(k, str))
+        if n:
+            count = own.setdefault(id(unit[id(x)]), [0, 0])
+            count[0] += n
+            count[1] += n * (id(x) in linked)
+            x.length, x.links = x.length + n, x.links + n * (id(x) in linked)
+    reads_ = lambda length, links: length if length >= 25 and links < 0.25 * length else 0
+    for x in reversed(every):
+        if unit[id(x)] is x:
+            x.prose += reads_(*own.get(id(x), (0, 0)))
+        if x.parent is not None:
+            x.parent.prose += x.prose
+            if x.name not in BLOCK:
+                x.parent.length, x.parent.links = x.parent.length + x.length, x.parent.links + x.links
+    for x in every:
+        if unit[id(x)] is not x:
+            x.prose = max(x.prose, reads_(x.length, x.links))
+        x.length = x.links = 0
+
+
+def free_wrappers(root: Node) -> None:
+    """A dropped container that holds nearly all of the page's text, and that is a form or was never closed, is a wrapper."""
+    found = [x for x in walk(root, through=WRAPPERS) if x.name in WRAPPERS and x.bad]
+    if not found or any(x.name in ("article", "main") for x in walk(root)):
+        return
+    hidden = [x for x in found if x.name in ("form", "fieldset") or not x.closed]
+    for x in hidden:
+        x.bad = False
+    every = list(walk(root))
+    weigh_prose(every)
+    total = root.prose
+    for x in hidden:
+        x.bad = 2 * x.prose <= total or x.prose <= 20 * (total - x.prose)
 
 
 def drop_marked(root: Node) -> None:
@@ -205,11 +262,14 @@ def drop_marked(root: Node) -> None:
     free = any(id(x) not in under for x in articles)
     for x in articles:
         up = x.parent
-        while up is not None and (x.name == "main" or not free):
+        while up is not None and (x.name == "main" or not free) and id(up) not in holds:
             holds.add(id(up))
             up = up.parent
-    total = prose(root)
-    rest = total - sum(prose(x) for x in outer)
+    for x in every:
+        x.prose = 0
+    weigh_prose(every)
+    total = root.prose
+    rest = total - sum(x.prose for x in outer)
     todo = [root]
     while todo:
         x = todo.pop()
@@ -224,7 +284,7 @@ def stays(x: Node, inside: bool, total: int, rest: int) -> bool:
     if x.name in HEADINGS:
         said = set(PART.split(text_of([x]).lower()))
         return all(key == "id" and said.issuperset(parts) for key, parts in x.names if MARKS.intersection(parts))
-    mine = prose(x)
+    mine = x.prose
     if x.mark == "sure":
         return mine > 20 * rest and 2 * mine > total
     if x.name not in BLOCK:
@@ -315,10 +375,26 @@ def reads(x: Node) -> bool:
     return not x.links and any(k.name in TEXTUAL and k.length for k in walk(x))
 
 
+def drop_menus(container: Node) -> None:
+    """In the article, lists of nothing but short links are menus; so are, in a main element, its link-only blocks."""
+    least = 2 if container.name == "main" else 3
+    every = list(walk(container))
+    count = dict.fromkeys(map(id, every), 0)
+    for x in reversed(every):
+        count[id(x)] += x.name == "a" and x.length > 0
+        if x is not container:
+            count[id(x.parent)] += count[id(x)]
+    for x in every:
+        n = count[id(x)]
+        if x is not container and x.name in ("ul", "ol", "menu", "dir", "div", "p") and x.links >= 0.95 * x.length and n >= least and x.length <= 30 * n:
+            x.bad = True
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    free_wrappers(root)
     drop_marked(root)
     every = measure(root)
     inside = [x for x in every if x.name not in ("#root", "html", "a", "p", "h1", "h2", "h3")]
@@ -330,15 +406,17 @@ def main_text(page: str | None) -> str:
     while x is not None and x.name not in ("article", "main"):
         x = x.parent
     if x is not None:
+        drop_menus(x)
         return text_of([x])
     if best.name in ("body", "#root", "html") or best.parent is None:
         return text_of([best])
-    kept, x = [best], best
+    before, after, x = [], [], best
     while x.parent is not None and x.name not in ("body", "html"):
         at = x.parent.kids.index(x)
-        kept = beside(x.parent.kids[:at], best) + kept + beside(x.parent.kids[at + 1 :], best)
+        before.append(beside(x.parent.kids[:at], best))
+        after += beside(x.parent.kids[at + 1 :], best)
         x = x.parent
-    return text_of(kept)
+    return text_of([*(k for some in reversed(before) for k in some), best, *after])
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
