@@ -5,35 +5,37 @@ archive is a plain WARC file on any storage Spark can write, committed by task l
 has a request, a response (or a revisit of the first equal payload) and a metadata record, tied
 together by WARC-Concurrent-To.
 
-Reading takes whole archive files (their size is bounded by records_per_file when written), walks the records
-by Content-Length, checks payload digests and yields a row for each record. Assembly groups the
-records of a capture by the identifier that they are concurrent to, and emits one nested row.
+Reading streams archives: Spark's text reader hands on what lies between record separators, in order (a gzip file is
+one split), and the records are put together again from those pieces by Content-Length, so a task holds one record
+and what the batch it came in holds, whatever the archive's size. Payload digests are checked and each record
+yields a row. Assembly groups the records of a capture by the identifier that they are concurrent to, and emits one nested row.
 
 Equal payloads: digests are grouped with partial aggregation, so a payload that a third of all pages
-share is one row a task. Defined cases: null html: empty payload; payloads under min_revisit bytes: always
-responses; repeated rows: each is a capture; null page_id or url: written as empty, read as null; extra
-columns are ignored.
+share is one row a task. A revisit names the page and the record that it refers to, and that record's address. Defined
+cases: null html: empty payload; very long html: whole; payloads under min_revisit bytes: always
+responses; repeated rows: each is a capture; null page_id or url: written as empty, read as null; an empty
+table: no archive and no row; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factloom.llm.common import cut, fresh_path, map_rows, pick
+from factloom.llm.common import delete_at_exit, fresh_path, map_rows, pick
 
 END = "\r\n\r\n"
 
 
 @dataclass(frozen=True)
 class WarcParams:
-    """min_revisit: bytes from which equal payloads are revisits; records_per_file bounds an archive."""
+    """min_revisit: bytes from which equal payloads are revisits; records_per_file: records of an archive."""
 
     min_revisit: int = 100
     records_per_file: int = 6000
@@ -47,8 +49,8 @@ def _header(fields: list[tuple[str, Column]]) -> Column:
     return F.concat(*parts, F.lit("\r\n"))
 
 
-def _uuid(kind: str) -> Column:
-    h = F.md5(F.concat(F.lit(kind), F.col("capture").cast("string"), F.col("digest")))
+def _uuid(kind: str, capture: str = "capture") -> Column:
+    h = F.md5(F.concat(F.lit(kind), F.col(capture).cast("string"), F.col("digest")))
     return F.concat(F.lit("<urn:uuid:"), F.regexp_replace(h, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(">"))
 
 
@@ -56,9 +58,12 @@ def records(pages: DataFrame, p: WarcParams) -> DataFrame:
     """One string a record, without the separator. pages: page_id, url, html."""
     octets = lambda c: F.octet_length(c).cast("string")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.regexp_replace("url", r"[\r\n]", " ").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumn("digest", F.sha2("html", 256)).withColumn("bytes", F.octet_length("html"))
-    firsts = rows.select("digest", "page_id", "bytes").where(F.col("bytes") >= p.min_revisit).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("copies")).where("copies > 1").select("digest", "first")
-    rows = rows.join(firsts, "digest", "left").withColumn("capture", F.monotonically_increasing_id())
+    rows = rows.withColumn("digest", F.sha2("html", 256)).withColumn("bytes", F.octet_length("html")).withColumn("capture", F.monotonically_increasing_id())
+    one = F.struct("page_id", "capture", "url")
+    known = rows.where((F.col("bytes") >= p.min_revisit) & F.col("page_id").isNotNull())
+    firsts = known.groupBy("digest").agg(F.min(one).alias("one"), F.count("*").alias("copies")).where("copies > 1")
+    firsts = firsts.select("digest", F.col("one.page_id").alias("first"), F.col("one.capture").alias("first_capture"), F.col("one.url").alias("first_url"))
+    rows = rows.join(firsts, "digest", "left")
     revisit = F.col("first").isNotNull() & (F.col("page_id") != F.col("first"))
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(END))
@@ -67,7 +72,7 @@ def records(pages: DataFrame, p: WarcParams) -> DataFrame:
     notes = F.concat(F.lit("page: "), page, F.lit("\r\nfetchTimeMs: 0\r\n"))
     common = [("WARC-Date", F.lit(p.date)), ("WARC-Target-URI", F.col("url"))]
     main = F.concat(
-        _header([("WARC-Type", F.when(revisit, "revisit").otherwise("response")), ("WARC-Record-ID", _uuid("main")), *common, ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))), ("WARC-Profile", F.when(revisit, "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), ("WARC-Page", page), ("WARC-Refers-To-Page", F.when(revisit, F.col("first").cast("string"))), ("Content-Type", F.lit("application/http;msgtype=response")), ("Content-Length", octets(block))]),
+        _header([("WARC-Type", F.when(revisit, "revisit").otherwise("response")), ("WARC-Record-ID", _uuid("main")), *common, ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))), ("WARC-Profile", F.when(revisit, "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), ("WARC-Page", page), ("WARC-Refers-To", F.when(revisit, _uuid("main", "first_capture"))), ("WARC-Refers-To-Target-URI", F.when(revisit, F.col("first_url"))), ("WARC-Refers-To-Page", F.when(revisit, F.col("first").cast("string"))), ("Content-Type", F.lit("application/http;msgtype=response")), ("Content-Length", octets(block))]),
         block,
     )
     request = F.concat(_header([("WARC-Type", F.lit("request")), ("WARC-Record-ID", _uuid("request")), ("WARC-Concurrent-To", _uuid("main")), *common, ("Content-Type", F.lit("application/http;msgtype=request")), ("Content-Length", octets(ask))]), ask)
@@ -82,54 +87,95 @@ def write_archives(pages: DataFrame, path: str, params: WarcParams = WarcParams(
     return path
 
 
-RECORD = T.StructType([T.StructField("archive", T.StringType()), T.StructField("at", T.LongType()), T.StructField("type", T.StringType()), T.StructField("record_id", T.StringType()), T.StructField("concurrent_to", T.StringType()), T.StructField("url", T.StringType()), T.StructField("page_id", T.LongType()), T.StructField("refers_to", T.LongType()), T.StructField("payload_bytes", T.LongType()), T.StructField("payload_digest", T.StringType()), T.StructField("payload", T.BinaryType())])
-
-
-def parse_archive(name: str, data: bytes):
-    """Rows of RECORD for each record, in order; a broken record or digest raises ValueError."""
-    at, size = 0, len(data)
-    while at < size:
-        stop = data.find(b"\r\n\r\n", at)
-        if stop < 0 or not data.startswith(b"WARC/1.", at):
-            raise ValueError(f"no record at {at} of {name}")
-        fields = {}
-        for line in data[at:stop].split(b"\r\n")[1:]:
-            key, _, value = line.partition(b":")
-            fields[key.strip().lower()] = value.strip().decode("utf-8", "replace")
-        n = int(fields[b"content-length"])
-        block = data[stop + 4 : stop + 4 + n]
-        if len(block) < n:
-            raise ValueError(f"a short record at {at} of {name}")
-        kind, payload, length, digest = fields.get(b"warc-type"), block, n, None
-        if kind in ("response", "revisit"):
-            head, _, payload = block.partition(b"\r\n\r\n")
-            told = re.search(rb"(?im)^content-length:\s*(\d+)", head)
-            length = int(told[1]) if told else len(payload)
-            digest = fields.get(b"warc-payload-digest", "").removeprefix("sha256:")
-            if kind == "response" and (hashlib.sha256(payload).hexdigest() != digest or len(payload) != length):
-                raise ValueError(f"a payload that its digest doesn't match at {at} of {name}")
-        number = lambda key: int(v) if (v := fields.get(key)) else None
-        yield (name, at, kind, fields.get(b"warc-record-id"), fields.get(b"warc-concurrent-to"), fields.get(b"warc-target-uri"), number(b"warc-page"), number(b"warc-refers-to-page"), length, digest, None if kind == "revisit" else payload)
-        at = stop + 4 + n + 4
+RECORD = T.StructType([T.StructField("archive", T.StringType()), T.StructField("at", T.LongType()), T.StructField("type", T.StringType()), T.StructField("record_id", T.StringType()), T.StructField("concurrent_to", T.StringType()), T.StructField("url", T.StringType()), T.StructField("page_id", T.LongType()), T.StructField("refers_to", T.LongType()), T.StructField("refers_to_record", T.StringType()), T.StructField("payload_bytes", T.LongType()), T.StructField("payload_digest", T.StringType()), T.StructField("payload", T.BinaryType())])
+
+
+SEPARATOR = END.encode()
+
+
+class Records:
+    """The records of archives, from the pieces between separators as they come.
+
+    A block may hold separators itself, and its end may run into one, so records are cut from the bytes that
+    the pieces and the separators between them make up; whether one follows the last piece isn't known.
+    """
+
+    def __init__(self):
+        self.name, self.held, self.size, self.at, self.need, self.fields = None, [], 0, 0, None, {}
+
+    def feed(self, name: str, piece: bytes) -> Iterator[tuple]:
+        """Rows of RECORD that the next piece of an archive completes."""
+        if name != self.name:
+            yield from self.end()
+            self.name, self.held, self.size, self.at = name, [piece], len(piece), 0
+        else:
+            self.held += [SEPARATOR, piece]
+            self.size += 4 + len(piece)
+        while self.need is None or self.size >= self.need + 4:
+            data = b"".join(self.held)
+            if self.need is None:
+                used = data.find(SEPARATOR) + 4
+                if not data.startswith(b"WARC/1."[: len(data)]):
+                    raise ValueError(f"no record at {self.at} of {name}")
+                if used < 4:
+                    break
+                self.fields, self.start = header_fields(data[: used - 4]), self.at
+                self.need = int(self.fields[b"content-length"])
+            else:
+                used = self.need + 4
+                if data[self.need : used] != SEPARATOR:
+                    raise ValueError(f"a length that doesn't fit the record at {self.start} of {name}")
+                yield row_of(name, self.start, self.fields, data[: self.need])
+                self.need = None
+            self.at += used
+            self.held, self.size = [data[used:]], len(data) - used
+
+    def end(self) -> Iterator[tuple]:
+        """The last record of an archive, whose separator ends the file."""
+        data = b"".join(self.held)
+        if self.need is not None and len(data) >= self.need and SEPARATOR.startswith(data[self.need :]):
+            yield row_of(self.name, self.start, self.fields, data[: self.need])
+        elif data or self.need is not None:
+            raise ValueError(f"a short record at {self.at} of {self.name}")
+        self.held, self.need = [], None
+
+
+def header_fields(head: bytes) -> dict[bytes, str]:
+    out = {}
+    for line in head.split(b"\r\n")[1:]:
+        key, _, value = line.partition(b":")
+        out[key.strip().lower()] = value.strip().decode("utf-8", "replace")
+    return out
+
+
+def row_of(name: str, at: int, fields: dict[bytes, str], block: bytes) -> tuple:
+    """A row of RECORD; a payload that its digest doesn't match raises ValueError."""
+    kind, payload, length, digest = fields.get(b"warc-type"), block, len(block), None
+    if kind in ("response", "revisit"):
+        head, _, payload = block.partition(b"\r\n\r\n")
+        told = re.search(rb"(?im)^content-length:\s*(\d+)", head)
+        length = int(told[1]) if told else len(payload)
+        digest = fields.get(b"warc-payload-digest", "").removeprefix("sha256:")
+        if kind == "response" and (hashlib.sha256(payload).hexdigest() != digest or len(payload) != length):
+            raise ValueError(f"a payload that its digest doesn't match at {at} of {name}")
+    number = lambda key: int(v) if (v := fields.get(key)) else None
+    return (name, at, kind, fields.get(b"warc-record-id"), fields.get(b"warc-concurrent-to"), fields.get(b"warc-target-uri"), number(b"warc-page"), number(b"warc-refers-to-page"), fields.get(b"warc-refers-to"), length, digest, None if kind == "revisit" else payload)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """A row of RECORD for each record of the archives in the folder."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path).select("path", "content")
+    """A row of RECORD for each record of the gzip archives in the folder."""
+    pieces = spark.read.option("lineSep", END).option("pathGlobFilter", "*.gz").text(path).select(F.col("_metadata.file_name").alias("archive"), F.col("value").cast("binary").alias("piece"))
 
     def run(slices):
+        records = Records()
         for rows in slices:
+            out = []
             for r in rows:
-                out, held = [], 0
-                for row in parse_archive(r["path"].rsplit("/", 1)[-1], gzip.decompress(r["content"])):
-                    out.append(row)
-                    held += len(row[-1] or b"")
-                    if held > 4_000_000:
-                        yield out
-                        out, held = [], 0
-                yield out
+                out += records.feed(r["archive"], r["piece"])
+            yield out
+        yield [*records.end()]
 
-    return map_rows(files, run, RECORD)
+    return map_rows(pieces, run, RECORD)
 
 
 def assemble(found: DataFrame) -> DataFrame:
@@ -153,4 +199,5 @@ def round_trip(pages: DataFrame, params: WarcParams = WarcParams()) -> DataFrame
     """Write archives to the shared folder, read them back and return the assembled captures' digest."""
     spark = pages.sparkSession
     path = write_archives(pages, fresh_path(spark, "warc"), params)
+    delete_at_exit(spark, path)
     return digest(assemble(read_archives(spark, path).drop("payload")))
