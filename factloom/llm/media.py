@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from factloom.llm.common import fresh_path, map_rows, pick
+from factloom.llm.common import delete_at_exit, fresh_path, map_rows, pick
 
 # The PNG signature, and the fill byte and row width of the contract.
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -106,9 +106,16 @@ class Written(WriterCommitMessage):
     archives: list
 
 
+#: Schemes of Hadoop's stores by the name that pyarrow has for them.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs", "webhdfs": "hdfs"}
+
+
 def open_store(path: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a path or URI, and the path in it."""
-    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+    if "://" not in path and not path.startswith("file:"):
+        return pafs.LocalFileSystem(), path
+    scheme, colon, rest = path.partition(":")
+    return pafs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + colon + rest)
 
 
 INDEX = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("offset", pa.int64()), ("length", pa.int64()), ("crc", pa.int64())])
@@ -285,4 +292,6 @@ def media_columns(members: DataFrame) -> DataFrame:
 def round_trip(docs: DataFrame) -> DataFrame:
     """Store in the shared folder, read the stored bytes back, compute the columns."""
     spark = docs.sparkSession
-    return media_columns(read_media(spark, write_media(docs, fresh_path(spark, "media"))))
+    path = write_media(docs, fresh_path(spark, "media"))
+    delete_at_exit(spark, path)
+    return media_columns(read_media(spark, path))
