@@ -2,15 +2,17 @@
 
 Base kinds (assign, access, hex) are found by fixed patterns in whole texts. The method then takes
 every candidate value (the values of base matches and further long tokens), hashes it and counts in
-how many distinct repositories and with how many distinct owners it occurs in the whole corpus:
-a value that many owners publish is a copied example, a value that few owners hold and that looks
-random is a live credential. Live values add spans wherever they occur and base spans do not cover
-them (kind "live"); base spans always stay, with their class beside them.
+how many distinct repositories and with how many distinct owners it occurs in the whole corpus, and which share of
+its repositories its greatest owner has. A value that many owners publish, none of whom has most of it, is a
+copied example; a value that few owners hold, or that one owner has most of, is a live-looking credential.
+Live values that look random add spans wherever they occur and base spans do not cover
+them (kind "live"); base spans always stay, with their class and counts beside them.
 
 Counting is over distinct (hash, repository, owner), combined before the shuffle, so one value that
-a third of all rows repeat is a few rows per task. Defined cases: null or empty text: no spans; null owner
-or repository counts as one owner or repository of its own; repeated rows count once; extra columns
-are ignored.
+a third of all rows repeat is a few rows per task. Spans meet their value's counts in a join of two written tables,
+where Spark may split a value that very many rows have. Defined cases: null or empty text: no spans; null owner
+or repository counts as one owner or repository of its own; repeated rows count once, and each has its spans; empty
+table: no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 
@@ -41,10 +44,12 @@ SPAN = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Struct
 
 @dataclass(frozen=True)
 class SecretParams:
-    """max_owners: a value of more owners is a copied example. bits: least entropy a character."""
+    """A value is an example if it has more than max_owners owners or max_repositories repositories and no owner has
+    at least the share `main` of its repositories. bits: least entropy a character of added values."""
 
     max_owners: int = 3
     max_repositories: int = 6
+    main: float = 0.5
     bits: float = 3.0
 
 
@@ -69,13 +74,16 @@ def looks_random(value: str, bits: float) -> bool:
     return -sum(k / n * math.log2(k / n) for k in Counter(value).values()) >= bits
 
 
-def covered(start: int, end: int, taken: list[tuple[int, int]]) -> bool:
-    """Whether the spans, sorted by start, leave no character of the range free."""
-    for a, b in taken:
-        if a > start:
-            break
-        start = max(start, b)
-    return start >= end
+def merged(spans: list[tuple]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the union of the spans, which are sorted by start."""
+    starts, ends = [], []
+    for _, a, b, *_ in spans:
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
 
 
 def spans_of(text: str | None, bits: float) -> tuple[list[tuple], list[tuple]]:
@@ -84,14 +92,19 @@ def spans_of(text: str | None, bits: float) -> tuple[list[tuple], list[tuple]]:
     A candidate that overlaps base spans counts unless they cover it: it holds characters that no base span has.
     """
     text = text or ""
-    base = base_spans(text)
-    taken, extra = [(s[1], s[2]) for s in base], []
+    base, extra = base_spans(text), []
+    starts, ends = merged(base)
     names = [s[1] for s in base if s[0] == "assign"]
     for m in TOKEN.finditer(text):
         # an assignment inside goes on to the token's end; what stands before it is judged alone
-        start, end = m.start(), min((a for a in names if m.start() < a < m.end()), default=m.end())
+        start, end = m.span()
+        k = bisect_right(names, start)
+        if k < len(names) and names[k] < end:
+            end = names[k]
         value = text[start:end]
-        if len(value) >= 20 and looks_random(value, bits) and not covered(start, end, taken):
+        k = bisect_right(starts, start) - 1
+        covered = k >= 0 and ends[k] >= end
+        if not covered and len(value) >= 20 and looks_random(value, bits):
             extra.append(("live", start, end, start, signed(value)))
     return [(*s[:4], signed(s[4])) for s in base], extra
 
@@ -112,40 +125,43 @@ def candidates(docs: DataFrame, p: SecretParams) -> DataFrame:
     return map_rows(docs, run, schema)
 
 
-def ownership(found: DataFrame) -> DataFrame:
-    """Per candidate hash: distinct owners and repositories over the whole corpus."""
+def ownership(found: DataFrame, p: SecretParams) -> DataFrame:
+    """Per candidate hash: owners, repositories (distinct, over the whole corpus) and class, as a written table."""
     every = found.select("owner", "repository", F.explode(F.array_union(F.col("base.hash"), F.col("extra.hash"))).alias("hash"))
     pairs = every.select("hash", F.coalesce("owner", F.lit("\0")).alias("owner"), F.coalesce("repository", F.lit("\0")).alias("repository")).distinct()
-    per_owner = pairs.groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
-    return per_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+    per_owner = pairs.groupBy("hash", "owner").agg(F.count("*").alias("n"))
+    freq = per_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"), F.max("n").alias("most"))
+    copied = ((F.col("owners") > p.max_owners) | (F.col("repositories") > p.max_repositories)) & (F.col("most") < p.main * F.col("repositories"))
+    return cut(freq.select("hash", "owners", "repositories", F.when(copied, "example").otherwise("live").alias("class")), "secret-ownership")
 
 
 def scan_secrets(docs: DataFrame, params: SecretParams = SecretParams(), id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_cols: tuple[str, ...] = ("source", "lang")) -> DataFrame:
-    """Per input row: doc_id and spans, an array of (kind, start, end, vstart, class) by place.
+    """Per input row: doc_id and spans, an array of (kind, start, end, vstart, class, owners, repositories) by place.
 
-    class is "example" (widely copied), "live" (few owners) or, for base spans, either.
+    class is "example" (widely copied) or, by its ownership, "live".
     """
     p = params
     have = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0")) for c in repository_cols]
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{owner_col}`").cast("string").alias("owner"), F.concat_ws("\1", *have).alias("repository"))
     found = cut(candidates(rows, p).withColumn("row", F.monotonically_increasing_id()), "secret-candidates")
-    freq = ownership(found)
+    freq = ownership(found, p)
     flat = found.select("row", F.explode(F.concat("base", "extra")).alias("s")).select("row", "s.*")
-    owned = F.when((F.col("owners") <= p.max_owners) & (F.col("repositories") <= p.max_repositories), "live").otherwise("example")
-    judged = flat.join(freq, "hash").withColumn("class", owned).where("kind <> 'live' or class = 'live'")
+    judged = flat.join(freq, "hash").where("kind <> 'live' or class = 'live'")
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
-    spans = judged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "end", "vstart", "kind", "class"))).alias("spans"))
-    empty = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,vstart:bigint,class:string>>")
-    shown = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["vstart"].alias("vstart"), s["class"].alias("class")))
+    names = ["kind", "start", "end", "vstart", "class", "owners", "repositories"]
+    spans = judged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "end", "vstart", "kind", "class", "owners", "repositories"))).alias("spans"))
+    empty = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,vstart:bigint,class:string,owners:bigint,repositories:bigint>>")
+    shown = F.transform("spans", lambda s: F.struct(*[s[c].alias(c) for c in names]))
     return found.select("row", F.col("id").alias("doc_id")).join(spans, "row", "left").select("doc_id", F.coalesce(shown, empty).alias("spans"))
 
 
 def digest(scanned: DataFrame) -> DataFrame:
-    """The contract's columns from scan_secrets' spans."""
-    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    """The contract's columns from scan_secrets' spans, and by span its class, owners and repositories."""
+    joined = lambda spans, *fields: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", *[s[c].cast("string") for c in fields])), ",")
+    text = lambda spans: joined(spans, "kind", "start", "end")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("spans", lambda s: s["kind"] != "live")
-    return scanned.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+    return scanned.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"), joined(F.col("spans"), "class", "owners", "repositories").alias("ownership"))
 
 
 def redact(docs: DataFrame, params: SecretParams = SecretParams(), mark: str = "[secret]") -> DataFrame:
@@ -157,9 +173,10 @@ def redact(docs: DataFrame, params: SecretParams = SecretParams(), mark: str = "
     th = F.xxhash64(F.coalesce("text", F.lit("")))
     repository = F.concat_ws("\1", F.coalesce("source", F.lit("\0")), F.coalesce("lang", F.lit("\0")))
     found = cut(candidates(docs.select(th.alias("id"), "text", F.col("source").alias("owner"), repository.alias("repository")), p).where("size(base) + size(extra) > 0"), "secret-candidates")
-    live = ownership(found).where((F.col("owners") <= p.max_owners) & (F.col("repositories") <= p.max_repositories)).select("hash")
+    live = ownership(found, p).where("class = 'live'").select("hash")
     by_text = found.select("id", F.explode(F.array_union(F.col("base.hash"), F.col("extra.hash"))).alias("hash")).distinct()
-    by_text = by_text.join(live, "hash", "left_semi").groupBy("id").agg(F.collect_set("hash").alias("live"))
+    # written, so that Spark may split a text that very many rows have
+    by_text = cut(by_text.join(live, "hash", "left_semi").groupBy("id").agg(F.collect_set("hash").alias("live")), "secret-live")
     # the row travels as one struct, so its own column names can't clash
     joined = docs.select(F.struct(*docs.columns).alias("doc"), th.alias("id")).join(by_text, "id", "left")
     schema, names = T.StructType(docs.schema.fields), docs.columns
