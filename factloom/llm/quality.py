@@ -5,11 +5,12 @@ counts of character classes and word repetition by a learned layer; gated attent
 sigmoid) weighs the passages; a linear layer scores the weighted representation. Only document
 labels train it: encoder, attention and scorer together, by gradient descent on the log loss.
 
-The fit uses at most max_train labelled rows, the first by a hash of the id, encoded where they lie;
-the driver gets their passage features only. Scoring covers every passage of every text.
-Defined cases: null or empty text: one passage of zeros, so a score like any other; equal texts,
-equal scores; null labels are not used; no usable label or a single class: every score is the share of ones (0.5
-without labels); extra columns are ignored.
+The fit uses at most max_train labelled rows, the first by a hash of the id (of a repeated id one row), of at most
+max_bag passages each, encoded where they lie; the driver gets their passage features only. Scoring covers
+every passage of every text. Defined cases: null or empty text: one passage of zeros, so a score like any other;
+equal texts, equal scores; repeated ids in labels: 1 if one of them is; null labels are not used; no usable
+label or a single class: every score is the share of ones (0.5 without labels); empty table: no rows; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,10 +29,12 @@ CLASSES = ("upper", "lower", "accent", "digit", "space", "line", ".", ",", "!?",
 
 @dataclass(frozen=True)
 class QualityParams:
-    """passage: characters; max_train: the bound on labelled rows that are fitted."""
+    """passage: characters; max_train, max_bag: the bounds on labelled rows that are fitted, and on the
+    passages of each (longer labelled texts are scored, not fitted)."""
 
     passage: int = 512
     max_train: int = 8000
+    max_bag: int = 512
     hidden: int = 16
     attention: int = 8
     steps: int = 400
@@ -123,12 +126,14 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, p: QualityParams) -> Model:
     """Full-batch Adam on the log loss; the same bags and labels give the same model."""
     if not len(labels) or labels.min() == labels.max():
         return Model(None, None, None, float(labels.mean()) if len(labels) else 0.5)
-    x = np.concatenate(bags).astype(np.float64)
+    x = np.concatenate(bags).astype(np.float32)
+    labels = labels.astype(np.float32)
     starts = np.r_[0, np.cumsum([len(b) for b in bags])[:-1]]
     rng = np.random.default_rng(7)
     mean, scale = x.mean(0), x.std(0) + 1e-3
     d, h, k = x.shape[1], p.hidden, p.attention
     weights = [rng.normal(0, d**-0.5, (d, h)), np.zeros(h), rng.normal(0, h**-0.5, (h, k)), rng.normal(0, h**-0.5, (h, k)), rng.normal(0, k**-0.5, k), np.zeros(h), np.array(np.log(labels.mean() / (1 - labels.mean())))]
+    mean, scale, weights = mean.astype(np.float32), scale.astype(np.float32), [w.astype(np.float32) for w in weights]
     model = Model(mean, scale, weights)
     xs = (x - mean) / scale
     m, s = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
@@ -149,8 +154,8 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, p: QualityParams) -> Model:
             gr = gr + p.decay * w if i in (0, 2, 3, 4, 5) else gr
             m[i] = 0.9 * m[i] + 0.1 * gr
             s[i] = 0.999 * s[i] + 0.001 * gr**2
-            weights[i] = w - p.rate * (m[i] / (1 - 0.9**step)) / (np.sqrt(s[i] / (1 - 0.999**step)) + 1e-8)
-    return model
+            weights[i] = (w - p.rate * (m[i] / (1 - 0.9**step)) / (np.sqrt(s[i] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+    return Model(mean.astype(np.float64), scale.astype(np.float64), [w.astype(np.float64) for w in weights])
 
 
 def train(docs: DataFrame, labels: DataFrame, p: QualityParams) -> Model:
@@ -165,7 +170,9 @@ def train(docs: DataFrame, labels: DataFrame, p: QualityParams) -> Model:
         for rows_ in slices:
             yield [(r["id"], r["label"], passages(r["text"], p.passage).tobytes()) for r in rows_]
 
-    got = sorted(((r["id"], bytes(r["x"]), r["label"]) for r in map_rows(rows, run, schema).collect()))
+    bags = map_rows(rows.where(F.length("text").isNull() | (F.length("text") <= p.passage * p.max_bag)), run, schema)
+    one = bags.groupBy("id").agg(F.min(F.struct("x", "label")).alias("one")).select("id", "one.*")
+    got = sorted(((r["id"], bytes(r["x"]), r["label"]) for r in one.collect()))
     return fit([np.frombuffer(x, np.float32).reshape(-1, WIDTH) for _, x, _ in got], np.array([y for _, _, y in got]), p)
 
 
