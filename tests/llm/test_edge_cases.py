@@ -91,6 +91,69 @@ def test_quality(docs, empty, labels, no_labels):
     assert quality.keep_quality(docs, labels).columns == docs.columns
 
 
+def test_conflicting_labels_of_equal_texts_and_repeated_ids(spark):
+    """Equal texts score alike whatever their labels; of a repeated id, one label of 1 counts."""
+    text = lambda i: ("Clean, long prose of a kind. " if i % 2 else "$$$ BUY!!! NOW### ") * 20 + str(i // 4)
+    rows = [(i, text(i)) for i in range(200)] + [(500, text(1)), (501, text(1)), (3, text(3)), (3, text(4))]
+    given = [(i, i % 2, 1 - i % 2) for i in range(200)] + [(500, 0, 1), (501, 1, 0), (3, 0, 1), (3, None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(given, "doc_id long, quality int, toxic int")
+    for scored in (quality.score_quality(frame, known), toxicity.score_toxicity(frame, known)):
+        got = scored.collect()
+        assert len(got) == len(rows)
+        assert len({round(r.score, 9) for r in got if r.doc_id in (1, 500, 501)}) == 1
+    held = [r for r in quality.score_quality(frame, known).collect() if r.doc_id < 200 and r.doc_id != 3]
+    assert sum(r.predicted == r.doc_id % 2 for r in held) >= 0.95 * len(held)
+
+
+def test_labelled_texts_beyond_the_bag_bound_are_scored(spark):
+    rows = [(i, ("Good words, well put. " if i % 2 else "@@@ ### ") * (4 if i else 4000)) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    got = quality.score_quality(frame, known, quality.QualityParams(max_bag=8)).collect()
+    assert len(got) == 60 and all(0 <= r.score <= 1 for r in got)
+
+
+def test_keep_quality_of_an_empty_table(empty, labels):
+    assert quality.keep_quality(empty, labels).count() == 0
+
+
+def test_mixing_without_words_and_with_ties(spark):
+    none = spark.createDataFrame([(1, None, "a"), (2, "", "b"), (None, "  ", None)], "doc_id long, text string, source string")
+    assert [(r["size"], r.target, r.taken) for r in mixing.digest(mixing.mix(none)).collect()] == [(0, 0.0, 0)] * 3
+    assert mixing.mixture(none).count() == 0
+    # sources 1 and 4 have equal weight and size, so an equal ratio of cap and weight
+    rows = [(i, "w " * 10, f"s{i % 6}") for i in range(120)]
+    got = mixing.digest(mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))).collect()
+    assert {(r.doc_id % 6, r.target) for r in got} == {(k, 1200 * (k % 3 + 1) / 12) for k in range(6)}
+    taken = {k: sum(r.taken for r in got if r.doc_id % 6 == k) for k in range(6)}
+    assert taken == {k: 1200 * (k % 3 + 1) / 12 for k in range(6)}
+
+
+def test_mixing_tree_deals_exact_quotas(spark):
+    p = mixing.MixParams(depth=3)
+    rows = [(f"s{k}", False, b, n) for k, blocks in enumerate((40, 13, 1)) for b in range(blocks) for n in range(k + 1)]
+    tokens = spark.createDataFrame(rows, "skey string, snull boolean, block long, pass long")
+    totals, shares = [], []
+    for seed in range(6):
+        got = mixing.split(tokens, mixing.MixParams(depth=3, seed=seed)).collect()
+        assert sorted((r.skey, r.snull, r.block, r["pass"]) for r in got) == sorted(rows)
+        sizes = [sum(r.shard == s for r in got) for s in range(2**p.depth)]
+        assert max(sizes) - min(sizes) <= p.depth and min(sizes) > 0
+        totals.append(tuple(sizes))
+        shares += [sum(r.shard == s and r.skey == "s0" for r in got) / 40 for s in range(8)]
+    # a shard's share of a source: hypergeometric, mean 1/8, and not always the same
+    assert abs(sum(shares) / len(shares) - 1 / 8) < 1e-9 and 0.02 < (sum((x - 1 / 8) ** 2 for x in shares) / len(shares)) ** 0.5 < 0.09
+
+
+def test_long_pages(spark):
+    body = "".join(f"<p>Paragraph {i}, which is long enough, with commas, to be read as text.</p>" for i in range(30_000))
+    pages = spark.createDataFrame([(1, "u", f"<html><body><nav><a href=x>y</a></nav><article>{body}</article></body></html>")], "page_id long, url string, html string")
+    got = html_extract.extract_main_text(pages).first()
+    assert got.text.count("Paragraph") == 30_000 and got.n_chars == len(got.text)
+    assert warc.round_trip(pages).first().payload_bytes == len(body) + len("<html><body><nav><a href=x>y</a></nav><article></article></body></html>")
+
+
 def test_toxicity(docs, empty, labels, no_labels):
     got = toxicity.score_toxicity(docs, labels).collect()
     assert len(got) == len(ROWS)

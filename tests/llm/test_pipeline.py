@@ -49,3 +49,15 @@ def test_run_applies_the_stages_in_order(spark):
     assert [name for name, _ in P.STAGES] == ["quality", "near-dedup", "secrets", "mixing", "packing"]
     assert P.ORACLE_SQL is None
     assert P.run(spark, SF).count() > 0
+
+
+def test_run_on_an_empty_table_and_with_clashing_columns(spark, tmp_path):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    labels.write.parquet(f"file://{tmp_path}/labels.parquet")
+    docs.limit(0).write.parquet(f"file://{tmp_path}/documents.parquet")
+    assert P.run(spark, f"file://{tmp_path}").count() == 0
+    names = ("id", "th", "key", "salt", "doc", "d", "place", "draws", "block", "live", "size", "z", "v", "comp")
+    wide = docs.selectExpr("*", *[f"'x' as `{c}`" for c in names])
+    wide.write.mode("overwrite").parquet(f"file://{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, P.run(spark, f"file://{tmp_path}").select("doc_id", "piece", "start", "length", "ids_crc32").collect()))
+    assert got == sorted(map(tuple, P.run(spark, SF).select("doc_id", "piece", "start", "length", "ids_crc32").collect())) and got
