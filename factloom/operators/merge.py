@@ -6,6 +6,8 @@ observations never has to sit in one task's memory as a list.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,16 +64,15 @@ def sticky(df: DataFrame, ids: list[str], order: list[str], terminal: Column, co
 def conflict_report(df: DataFrame, ids: list[str], columns: list[str]) -> DataFrame:
     """A row for each id and contradicted column: how many values, and the least and greatest.
 
-    One pass of plain aggregates finds what is contradicted; distinct values are counted for that only.
+    Each column's distinct values are found and counted by themselves: narrow rows, combined before both shuffles.
     """
-    ends = [f(c).cast("string").alias(f"{k}_{c}") for c in columns for k, f in (("low", F.min), ("high", F.max))]
-    wide = df.groupBy(*ids).agg(*ends)
-    fields = F.array(*[F.when(F.col(f"low_{c}") != F.col(f"high_{c}"), F.struct(F.lit(c).alias("field"), F.col(f"low_{c}").alias("low"), F.col(f"high_{c}").alias("high"))) for c in columns])
-    found = wide.select(*ids, F.explode(F.filter(fields, lambda x: x.isNotNull())).alias("x")).select(*ids, "x.*")
-    named = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns])).alias("x")
-    values = df.join(found.select(*ids).distinct(), ids, "left_semi").select(*ids, named).select(*ids, "x.*").where("value is not null")
-    n = values.distinct().groupBy(*ids, "field").agg(F.count("*").alias("n_values"))
-    return found.join(n, [*ids, "field"]).select(*ids, "field", "n_values", "low", "high")
+
+    def of(c: str) -> DataFrame:
+        values = df.select(*ids, c).where(F.col(c).isNotNull()).distinct()
+        found = values.groupBy(*ids).agg(F.count("*").alias("n_values"), F.min(c).alias("low"), F.max(c).alias("high")).where("n_values > 1")
+        return found.select(*ids, F.lit(c).alias("field"), "n_values", F.col("low").cast("string").alias("low"), F.col("high").cast("string").alias("high"))
+
+    return reduce(DataFrame.unionByName, map(of, columns))
 
 
 def fold_in_order(df: DataFrame, ids: list[str], order: list[str], value: str, evidence: str) -> DataFrame:
