@@ -61,8 +61,21 @@ def drop_cut(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bounds of an Arrow batch between Spark and Python; long texts count by their bytes.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches to Python are bounded by rows and bytes, unless the session says otherwise."""
+    given = spark.conf.getAll
+    for key, value in BATCH.items():
+        if key not in given:
+            spark.conf.set(key, value)
+
+
 def map_rows(df: DataFrame, fn: Callable[[Iterator[list[dict]]], Iterator[list[tuple]]], schema: T.StructType) -> DataFrame:
     """Run fn over slices of row dicts of each partition; fn yields lists of tuples in schema's order."""
+    bounded_batches(df.sparkSession)
     arrow_schema = to_arrow_schema(schema)
 
     def run(batches):

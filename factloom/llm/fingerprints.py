@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factloom.llm.common import cut, drop_cut, map_rows, pick
+from factloom.llm.common import bounded_batches, cut, drop_cut, map_rows, pick
 from factloom.llm.neardup import GOLD, WordHashes, mix64
 
 #: Term hashes that a task gathers before it counts them.
@@ -192,6 +192,7 @@ def fingerprint_neighbours(docs: DataFrame, params: FingerprintParams = Fingerpr
     """Per input row: OUT's columns, for the text and its edit with the next document's beginning."""
     p = params
     rows = pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
+    bounded_batches(docs.sparkSession)
     rows = rows.withColumn("order", F.coalesce("id", F.lit(-(2**63)))).withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
     many = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = ranges(rows, many)
