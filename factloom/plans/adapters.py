@@ -119,15 +119,18 @@ def sparql_rows(spark, sf):
 
 @query("SELECT c_nationkey, CAST(block AS INT) AS block, CASE block WHEN 0 THEN c_name WHEN 1 THEN c_mktsegment ELSE repeat('x', 5 + c_custkey % 50) END AS cell, count(*) AS n FROM customer, (VALUES (0), (1), (2)) t(block) GROUP BY ALL")
 def printed_pages(spark, sf):
-    """Enrollment and compiled texts: form feeds part pages, blocks stand beside each other under their labels."""
-    c = load(spark, sf, "customer")
+    """Enrollment and compiled texts: form feeds part pages, blocks stand beside each other under their labels.
+
+    A nation's customers are printed in texts of 10,000 keys, so more customers are more texts, not longer ones.
+    """
+    c = load(spark, sf, "customer").withColumn("of", F.struct("c_nationkey", F.floor(F.col("c_custkey") / 10_000).alias("part")))
     line = F.concat(F.rpad("c_name", 24, " "), F.rpad("c_mktsegment", 16, " "), F.repeat(F.lit("x"), (5 + F.col("c_custkey") % 50).cast("int")))
     head = "School".ljust(24) + "Class".ljust(16) + "Enrolled\n"
-    pages = _joined(c.withColumn("page", F.col("c_custkey") % 3).withColumn("key", F.struct("c_nationkey", "page")), "key", "c_custkey", line)
-    docs = pages.select("key.c_nationkey", "key.page", F.concat(F.lit(head), "text").alias("text")).groupBy("c_nationkey").agg(F.array_join(F.array_sort(F.collect_list("text")), "\f").alias("text"))
-    one = parsers.form_pages(docs, "c_nationkey", "text").select(F.struct("c_nationkey", "page").alias("id"), "text")
+    pages = _joined(c.withColumn("page", F.col("c_custkey") % 3).withColumn("key", F.struct("of", "page")), "key", "c_custkey", line)
+    docs = pages.select("key.of", F.concat(F.lit(head), "text").alias("text")).groupBy("of").agg(F.array_join(F.array_sort(F.collect_list("text")), "\f").alias("text"))
+    one = parsers.form_pages(docs, "of", "text").select(F.struct("of", "page").alias("id"), "text")
     cells = parsers.side_by_side(one, "id", "text").where("at > 0")
-    return cells.groupBy("id.c_nationkey", "block", "cell").agg(F.count("*").alias("n"))
+    return cells.groupBy("id.of.c_nationkey", "block", "cell").agg(F.count("*").alias("n"))
 
 
 @query("""

@@ -29,6 +29,18 @@ def test_side_by_side(spark):
     assert got == [(0, "left one"), (0, "left two"), (1, "right one"), (1, "right two")]
 
 
+def test_side_by_side_of_a_long_text(spark):
+    """A line's row doesn't hold its text: 12,000 lines would be 14 GB of copies."""
+    text = "Left".ljust(60) + "Right\n" + "\n".join(f"{i:060}{i:040}" for i in range(12_000))
+    got = parsers.side_by_side(spark.createDataFrame([(1, text)], "id int, t string"), "id", "t").where("at > 0")
+    assert [tuple(r) for r in got.groupBy("id", "block").agg(F.count("*"), F.sum(F.col("cell").cast("long"))).orderBy("block").collect()] == [(1, 0, 12_000, 71_994_000), (1, 1, 12_000, 71_994_000)]
+
+
+def test_side_by_side_without_labels(spark):
+    got = parsers.side_by_side(spark.createDataFrame([(1, ""), (2, None), (3, "\nx"), (4, "A\nx")], "id int, t string"), "id", "t").where("at > 0")
+    assert [tuple(r) for r in got.collect()] == [(4, 1, 0, "x")]
+
+
 def test_json_shapes(spark):
     meet = json.dumps({"meet": "m", "events": [{"label": "e", "rows": [{"place": 1, "name": "n", "mark": "1.0", "legs": ["a", "b"]}]}, {"label": "none", "rows": []}]})
     rows = parsers.nested_meets(spark.createDataFrame([(1, meet)], "id int, t string"), "id", "t").collect()
