@@ -52,6 +52,23 @@ def as_of(facts: DataFrame, versions: DataFrame, on: list[str], at: str, since:
     return out.select("__row.*", *[F.col("__v")[c].alias(c) for c in columns])
 
 
+def pair_agreements(df: DataFrame, keys: list[str], id_col: str, same: dict[str, str], tile: int = 2000) -> DataFrame:
+    """All pairs of rows with equal keys, a the smaller numeric id and b the larger, and by name whether a column agrees in both.
+
+    A group's ids from least to greatest are parted into tiles of about that many rows, and a tile meets itself and
+    those after it, so that a group of any size lies in many tasks and few rows meet that are no pair. Tiles keep the
+    ids' order; where ids are uneven tiles are too, and no pair is lost.
+    """
+    spans = df.groupBy(*keys).agg(F.ceil(F.count("*") / tile).alias("tiles"), F.min(id_col).cast("double").alias("lo"), F.max(id_col).cast("double").alias("hi"))
+    place = F.floor((F.col(id_col).cast("double") - F.col("lo")) / (F.col("hi") - F.col("lo") + 1) * F.col("tiles"))
+    dealt = df.where(F.col(id_col).isNotNull()).join(spans, keys).withColumn("t", F.least(place, F.col("tiles") - 1))
+    side = lambda s: [F.col(id_col).alias(f"{s}_id"), *[F.col(c).alias(f"{s}_{n}") for n, c in same.items()]]
+    left = dealt.select(*keys, F.col("t").alias("i"), F.explode(F.sequence("t", F.col("tiles") - 1)).alias("j"), *side("x"))
+    right = dealt.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), "t")).alias("i"), F.col("t").alias("j"), *side("y"))
+    pairs = left.join(right, [*keys, "i", "j"]).where("x_id < y_id")
+    return pairs.select(F.col("x_id").alias("a"), F.col("y_id").alias("b"), *[(F.col(f"x_{n}") == F.col(f"y_{n}")).alias(n) for n in same])
+
+
 def multiset_diff(expected: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
     """Keys whose numbers of rows differ: missing and excess."""
     signed = expected.select(*keys, F.lit(1).alias("n")).unionByName(found.select(*keys, F.lit(-1).alias("n")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from factloom.operators import guards, relate
+from factloom.operators import relate
 from factloom.plans.registry import query
 from factloom.sources.tables import day, load, money
 
@@ -187,13 +187,8 @@ def verify_roundtrip(spark, sf):
 SELECT a.p_partkey AS a, b.p_partkey AS b, a.p_size = b.p_size AS same_size, a.p_brand = b.p_brand AS same_brand
 FROM part a JOIN part b ON a.p_type = b.p_type AND a.p_name = b.p_name AND a.p_partkey < b.p_partkey""")
 def pair_flags(spark, sf):
-    """Pairs within a block (same type and name), flagged by what agrees."""
-    p = load(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_brand")
-    # a block beyond the budget is refused whole, not compared; none of the tables has one
-    p, _ = guards.refuse_groups(p, ["p_type", "p_name"], 100_000)
-    a, b = p.alias("a"), p.alias("b")
-    pairs = a.join(b, (F.col("a.p_type") == F.col("b.p_type")) & (F.col("a.p_name") == F.col("b.p_name")) & (F.col("a.p_partkey") < F.col("b.p_partkey")))
-    return pairs.select(F.col("a.p_partkey").alias("a"), F.col("b.p_partkey").alias("b"), (F.col("a.p_size") == F.col("b.p_size")).alias("same_size"), (F.col("a.p_brand") == F.col("b.p_brand")).alias("same_brand"))
+    """Pairs within a block (same type and name), flagged by what agrees: every pair, however large its block."""
+    return relate.pair_agreements(load(spark, sf, "part"), ["p_type", "p_name"], "p_partkey", {"same_size": "p_size", "same_brand": "p_brand"})
 
 
 @query("""

@@ -3,9 +3,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from factloom.operators import best, guards, history, merge, ranks, relate, resolve
 from factloom.operators.profile import Profile
+from factloom.plans import queries
 
 
 def test_merge_laws(spark):
@@ -113,3 +115,20 @@ def test_profile():
     assert Profile(places=("b", "a", "a")).id == Profile(places=("a", "b")).id != Profile(places=("a",)).id
     with pytest.raises(ValueError):
         Profile(first="2025-01-01", last="2024-01-01")
+
+
+def test_pair_agreements_meet_in_tiles(spark):
+    """Every pair once, over tiles of any evenness; equal and null ids are no pair, null values agree with nothing."""
+    ids = [*range(40), 5, None, -(2**62), 2**62, 2**62 + 1]
+    rows = [("k", i, None if n % 9 == 0 else n % 3) for n, i in enumerate(ids)] + [(None, 1, 1), (None, 2, 1), ("one", 1, 1)]
+    want = sorted((a, b, None if u is None or v is None else u == v) for k, a, u in rows for m, b, v in rows if k and k == m and None not in (a, b) and a < b)
+    for tile in (1, 7, 1000):
+        got = relate.pair_agreements(spark.createDataFrame(rows, "k string, id long, v int"), ["k"], "id", {"same": "v"}, tile)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_pair_flags_keep_large_blocks(spark, tmp_path):
+    """A block of 100,002 parts is paired whole; only its pairs with the first part are counted."""
+    parts = spark.range(100_002).select(F.col("id").alias("p_partkey"), F.lit("n").alias("p_name"), F.lit("t").alias("p_type"), F.lit(1).alias("p_size"), F.lit("b").alias("p_brand"))
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    assert queries.queries()["pair_flags"](spark, str(tmp_path)).where("a = 0").count() == 100_001
