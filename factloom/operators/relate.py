@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def split_scope(df: DataFrame, inside: Column) -> tuple[DataFrame, DataFrame]:
@@ -52,21 +53,31 @@ def as_of(facts: DataFrame, versions: DataFrame, on: list[str], at: str, since:
     return out.select("__row.*", *[F.col("__v")[c].alias(c) for c in columns])
 
 
-def pair_agreements(df: DataFrame, keys: list[str], id_col: str, same: dict[str, str], tile: int = 2000) -> DataFrame:
+def pair_agreements(df: DataFrame, keys: list[str], id_col: str, same: dict[str, str], tile: int = 4096) -> DataFrame:
     """All pairs of rows with equal keys, a the smaller numeric id and b the larger, and by name whether a column agrees in both.
 
-    A group's ids from least to greatest are parted into tiles of about that many rows, and a tile meets itself and
-    those after it, so that a group of any size lies in many tasks and few rows meet that are no pair. Tiles keep the
-    ids' order; where ids are uneven tiles are too, and no pair is lost.
+    A group's rows in the ids' order are cut into lists of that many, and a row walks the lists that may hold larger
+    ids. A quarter of a list's length of rows meets one list at a time, so that a group of any size lies in many tasks.
+    Only the numbering of a group's rows is one sorted stream.
     """
-    spans = df.groupBy(*keys).agg(F.ceil(F.count("*") / tile).alias("tiles"), F.min(id_col).cast("double").alias("lo"), F.max(id_col).cast("double").alias("hi"))
-    place = F.floor((F.col(id_col).cast("double") - F.col("lo")) / (F.col("hi") - F.col("lo") + 1) * F.col("tiles"))
-    dealt = df.where(F.col(id_col).isNotNull()).join(spans, keys).withColumn("t", F.least(place, F.col("tiles") - 1))
-    side = lambda s: [F.col(id_col).alias(f"{s}_id"), *[F.col(c).alias(f"{s}_{n}") for n, c in same.items()]]
-    left = dealt.select(*keys, F.col("t").alias("i"), F.explode(F.sequence("t", F.col("tiles") - 1)).alias("j"), *side("x"))
-    right = dealt.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), "t")).alias("i"), F.col("t").alias("j"), *side("y"))
-    pairs = left.join(right, [*keys, "i", "j"]).where("x_id < y_id")
-    return pairs.select(F.col("x_id").alias("a"), F.col("y_id").alias("b"), *[(F.col(f"x_{n}") == F.col(f"y_{n}")).alias(n) for n in same])
+    from pyspark.sql import Window as W
+
+    spark, group = df.sparkSession, W.partitionBy(*keys)
+    # pairs are the work, not the bytes by which adaptive execution would merge partitions: it leaves a given number alone
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
+    known = df.where(F.expr(" and ".join(f"`{c}` is not null" for c in [*keys, id_col]))).repartition(parts, *keys)
+    ident = F.coalesce(F.col(id_col), F.lit(0).cast(df.schema[id_col].dataType))  # never null, which Parquet writes faster
+    # texts are compared once a row, as ranks in their group
+    value = lambda c: F.when(F.col(c).isNotNull(), F.dense_rank().over(group.orderBy(c))) if isinstance(df.schema[c].dataType, StringType) else F.col(c)
+    rows = known.select(*keys, ident.alias("a"), *[value(c).alias(f"x_{n}") for n, c in same.items()])
+    placed = rows.withColumn("at", (F.row_number().over(group.orderBy("a")) - 1).cast("long")).withColumn("j", F.expr(f"at div {tile}"))
+    share = F.expr(f"at div {max(1, tile // 4)}")
+    left = placed.withColumn("last", F.max("j").over(group)).select(*keys, share.alias("i"), F.explode(F.sequence("j", "last")).alias("j"), "a", *[f"x_{n}" for n in same])
+    listed = F.sort_array(F.collect_list(F.struct(F.col("a").alias("b"), *[F.col(f"x_{n}").alias(f"y_{n}") for n in same])))
+    lists = placed.groupBy(*keys, "j").agg(F.max(share).alias("i"), listed.alias("ys")).select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), "i")).alias("i"), "j", "ys")
+    met = left.repartition(parts, *keys, "i", "j").join(lists.repartition(parts, *keys, "i", "j"), [*keys, "i", "j"])
+    pairs = met.select("a", *[f"x_{n}" for n in same], F.inline("ys")).where("a < b")
+    return pairs.select("a", "b", *[(F.col(f"x_{n}") == F.col(f"y_{n}")).alias(n) for n in same])
 
 
 def multiset_diff(expected: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:

@@ -132,3 +132,15 @@ def test_pair_flags_keep_large_blocks(spark, tmp_path):
     parts = spark.range(100_002).select(F.col("id").alias("p_partkey"), F.lit("n").alias("p_name"), F.lit("t").alias("p_type"), F.lit(1).alias("p_size"), F.lit("b").alias("p_brand"))
     parts.write.parquet(f"{tmp_path}/part.parquet")
     assert queries.queries()["pair_flags"](spark, str(tmp_path)).where("a = 0").count() == 100_001
+
+
+def test_pair_agreements_share_out_pairs(spark):
+    """A group's pairs lie in many tasks, though its bytes are few; texts agree as they do in SQL."""
+    rows = spark.range(2000).select(F.lit("k").alias("k"), "id", F.when(F.col("id") % 5 > 0, F.concat(F.lit("t"), F.col("id") % 3)).alias("v"))
+    pairs = relate.pair_agreements(rows, ["k"], "id", {"same": "v"}, 400)
+    by_task = [n for _, n in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(by_task) == 2000 * 1999 // 2
+    assert max(by_task) < sum(by_task) / 3
+    found = pairs.groupBy("same").agg(F.count("*"), F.sum("a"), F.sum("b"))
+    plain = rows.alias("x").join(rows.alias("y"), F.expr("x.k = y.k and x.id < y.id")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.expr("x.v = y.v").alias("same"))
+    assert sorted(found.collect(), key=repr) == sorted(plain.groupBy("same").agg(F.count("*"), F.sum("a"), F.sum("b")).collect(), key=repr)
